@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from fathomline.llm import bpe
+from fathomline.llm import bpe, langid, topk
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
+    "op9_language_id": langid.op9_language_id,
+    "op10_topk": topk.op10_topk,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_topk": topk.OP10_SQL,
+}

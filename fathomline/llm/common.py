@@ -49,3 +49,18 @@ def cut(df: DataFrame) -> DataFrame:
 def hash128(value: Column) -> list[Column]:
     """Two independent 64-bit hashes: together they tell texts apart at any corpus size met in practice."""
     return [F.xxhash64(value), F.xxhash64(F.lit(7), value)]
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that the driver and all executors share."""
+    import uuid
+
+    ensure_checkpoints(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system that it lies in."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from fathomline.llm import bpe, langid, topk
+from fathomline.llm import bpe, langid, linededup, topk
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
+    "op4_line_dedup": linededup.op4_line_dedup,
     "op9_language_id": langid.op9_language_id,
     "op10_topk": topk.op10_topk,
 }
 
 ORACLES: dict[str, str] = {
+    "op4_line_dedup": linededup.OP4_SQL,
     "op10_topk": topk.OP10_SQL,
 }

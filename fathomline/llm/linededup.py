@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 from fathomline.llm.common import batches, hash128, remove, shared_path, table
 
 #: Documents that must hold a line, shortest key in code points, runs of a level that are compacted, batches of a table.
-THRESHOLD, MIN_KEY, FAN, BATCHES = 10, 1, 2, 3
+THRESHOLD, MIN_KEY, FAN, BATCHES = 10, 1, 2, 2
+#: Shuffle partitions for each bucket of a run: a counted line is a few bytes, so runs are dealt to fewer, larger files.
+PER_BUCKET = 4
 #: Common lines that are broadcast at most.
 BROADCAST_LINES = 1_000_000
 
@@ -55,7 +57,7 @@ class LineRuns:
 
     def __init__(self, spark: SparkSession, threshold: int = THRESHOLD, fan: int = FAN) -> None:
         self.spark, self.threshold, self.fan = spark, threshold, fan
-        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")) // PER_BUCKET)
         self.runs: list[tuple[int, str, str]] = []  # level, table, path
 
     def _write(self, counted: DataFrame, level: int) -> None:

@@ -35,7 +35,7 @@ from fathomline.llm.common import batches, fold, table
 SAMPLE, CANDIDATES = 5000, 1500
 #: Lengths of word beginnings; least likelihood ratio (G squared) and toxic documents of a feature among those that none
 #: covers yet; its least share of toxic documents in the whole sample.
-PREFIXES, LEAST_RATIO, LEAST_HELD, LEAST_SHARE = (4, 5, 6), 13.0, 3, 0.5
+PREFIXES, LEAST_RATIO, LEAST_HELD, LEAST_SHARE = (4, 5, 6), 13.0, 3, 0.8
 #: The same for features that are taken though others cover their documents.
 STRONG_RATIO, STRONG_SHARE = 20.0, 0.97
 #: Remembered tokens of a worker.

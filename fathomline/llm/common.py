@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +47,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def keep(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
+    """Compute once, when first read. Parts that go with an executor are computed again from the lineage."""
+    return df.persist(level)
+
+
+def flat(df: DataFrame) -> DataFrame:
+    """Like `keep`, with a plan that does not hold the plans it was made from: loops would double those every round."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = df.sparkSession
+    return DataFrame(spark._jsparkSession.createDataFrame(kept._jdf.javaRDD(), kept._jdf.schema()), spark)
+
+
 def hash128(value: Column) -> list[Column]:
     """Two independent 64-bit hashes: together they tell texts apart at any corpus size met in practice."""
     return [F.xxhash64(value), F.xxhash64(F.lit(7), value)]

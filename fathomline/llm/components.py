@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import cut
+from fathomline.llm.common import cut, flat
+
+#: Rounds after which the lineage is cut by a checkpoint; between these, labels are kept by the executors.
+CUT_EVERY = 5
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -14,13 +17,16 @@ def components(links: DataFrame) -> DataFrame:
     Each round every node takes the smallest label among its neighbours, then labels are replaced by their own labels,
     so that chains shorten by halves; rounds end when no label changes.
     """
-    both = cut(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
-    label = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("comp")))
+    both = flat(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
+    label = flat(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("comp")))
+    turn = 0
     while True:
         near = both.join(label, F.col("b") == F.col("node")).groupBy("a").agg(F.min("comp").alias("m"))
         least = label.join(near, F.col("node") == F.col("a")).select("node", F.least("comp", "m").alias("next"), "comp")
         jump = least.select(F.col("node").alias("at"), F.col("next").alias("there"))
-        moved = cut(least.join(jump, F.col("next") == F.col("at"), "left").select("node", F.least("next", F.coalesce("there", "next")).alias("next"), "comp"))
+        moved = least.join(jump, F.col("next") == F.col("at"), "left").select("node", F.least("next", F.coalesce("there", "next")).alias("next"), "comp")
+        turn += 1
+        moved = flat(moved) if turn % CUT_EVERY else cut(moved)
         changed = not moved.where("next <> comp").isEmpty()
         label = moved.select("node", F.col("next").alias("comp"))
         if not changed:

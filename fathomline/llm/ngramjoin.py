@@ -23,13 +23,15 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import batches, cut, shared_path, table
+from fathomline.llm.common import batches, flat, keep, table
 from fathomline.llm.components import components
 
 #: Words of a shingle, and the threshold in hundredths.
@@ -55,19 +57,46 @@ class _Hashes(dict):
         return value
 
 
-def shingles(text: bytes, memory: _Hashes, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of a text's shingles; with fewer words the whole sequence is one."""
-    found = text.translate(_LOWERED).split()
-    if not found:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(memory.__getitem__, found), np.uint64, len(found))
-    n = min(words, len(found))
+def runs(texts: list[bytes | None], memory: _Hashes, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle hashes of all texts behind each other (not yet distinct), and how many each text has.
+
+    A text of fewer words than a shingle has one, made of all of them.
+    """
+    split = [(t or b"").translate(_LOWERED).split() for t in texts]
+    sizes = np.fromiter(map(len, split), np.int64, len(split))
+    h = np.fromiter(map(memory.__getitem__, chain.from_iterable(split)), np.uint64, int(sizes.sum()))
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    counts = np.where(sizes >= words, sizes - words + 1, np.minimum(sizes, 1))
     with np.errstate(over="ignore"):
-        out = np.full(len(h) - n + 1, n, np.uint64)
-        for k in range(n):
-            out = out * _ODD + h[k : len(h) - n + 1 + k]
-            out = (out ^ (out >> np.uint64(29))) * _MIX
-    return np.unique(out ^ (out >> np.uint64(32)))
+
+        def mix(parts: list[np.ndarray]) -> np.ndarray:
+            out = np.full(len(parts[0]), len(parts), np.uint64)
+            for part in parts:
+                out = out * _ODD + part
+                out = (out ^ (out >> np.uint64(29))) * _MIX
+            return out ^ (out >> np.uint64(32))
+
+        n = max(0, len(h) - words + 1)
+        every = mix([h[k : k + n] for k in range(words)])
+        inside = np.zeros(n + words, bool)
+        for start, size in zip(starts[:-1][sizes >= words], sizes[sizes >= words], strict=True):
+            inside[start : start + size - words + 1] = True
+        if (short := np.flatnonzero((sizes > 0) & (sizes < words))).size == 0:
+            return every[inside[:n]], counts
+        out = np.zeros(int(counts.sum()), np.uint64)
+        at = np.concatenate([[0], np.cumsum(counts)])
+        from_short = np.zeros(len(out), bool)
+        from_short[at[short]] = True
+        out[~from_short] = every[inside[:n]]
+        for i in short:
+            out[at[i]] = mix([h[starts[i] + k : starts[i] + k + 1] for k in range(sizes[i])])[0]
+        return out, counts
+
+
+def sets_of(texts: list[bytes | None], memory: _Hashes) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text."""
+    every, counts = runs(texts, memory)
+    return [np.unique(x) for x in np.split(every, np.cumsum(counts)[:-1])] if texts else []
 
 
 def need(x, y, percent: int = PERCENT):
@@ -85,13 +114,17 @@ def prefix(n: int, percent: int = PERCENT) -> int:
 def orders(tokens: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The prefix under the first order (hashes), and under the second (32-bit hashes)."""
     k = prefix(len(tokens))
-    count = common[tokens >> np.uint64(64 - BUCKET_BITS)]
-    first = tokens[np.lexsort((tokens, count))[:k]]
+    if not k:
+        return tokens, tokens.astype(np.uint32)
+    count = common[tokens >> np.uint64(64 - BUCKET_BITS)].astype(np.uint64)
     with np.errstate(over="ignore"):
         other = (tokens ^ (tokens >> np.uint64(31))) * _MIX
-    coarse = np.log2(count + 1.0).astype(np.int64)
-    second = other[np.lexsort((other, coarse))[:k]]
-    return first, (second >> np.uint64(32)).astype(np.uint32)
+    coarse = np.log2(count + np.uint64(1)).astype(np.uint64)
+    # Commonness above, hash below; 32 and 56 bits of hash tell tokens apart that are equally common.
+    ranks = (count << np.uint64(32)) | (tokens & np.uint64(0xFFFFFFFF)), (coarse << np.uint64(56)) | (other >> np.uint64(8))
+    first, second = (np.argpartition(r, k - 1)[:k] for r in ranks)
+    first = first[np.argsort(ranks[0][first])]
+    return tokens[first], (other[second] >> np.uint64(32)).astype(np.uint32)
 
 
 def fingerprint(tokens: np.ndarray) -> tuple[int, int]:
@@ -106,15 +139,14 @@ def _texts(part: pa.RecordBatch) -> list[bytes | None]:
 def _count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memory, total = _Hashes(), np.zeros(1 << BUCKET_BITS, np.int64)
     for part in parts:
-        sets = [shingles(t or b"", memory) >> np.uint64(64 - BUCKET_BITS) for t in _texts(part)]
-        if sets:
-            total += np.bincount(np.concatenate(sets).astype(np.int64), minlength=len(total))
+        every, _ = runs(_texts(part), memory)
+        total += np.bincount((every >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(total))
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_pydict({"bucket": pa.array(at, pa.int32()), "n": pa.array(total[at], pa.int64())})
 
 
 def bucket_counts(docs: DataFrame) -> np.ndarray:
-    """How many documents' tokens fall into each bucket: a table of fixed size, over all rows."""
+    """How many shingles of all documents fall into each bucket: a table of fixed size, over all rows."""
     rows = docs.select("text").mapInArrow(_count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(1 << BUCKET_BITS, np.int64)
     out[rows["bucket"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
@@ -125,7 +157,7 @@ def _prefixes(shared):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = _Hashes()
         for part in parts:
-            sets = [shingles(t or b"", memory) for t in _texts(part)]
+            sets = sets_of(_texts(part), memory)
             marks, firsts = [fingerprint(s) for s in sets], [orders(s, shared.value) for s in sets]
             yield pa.RecordBatch.from_pydict(
                 {
@@ -147,7 +179,7 @@ def _sets(keep: list[str]):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = _Hashes()
         for part in parts:
-            sets = [shingles(t or b"", memory) for t in _texts(part)]
+            sets = sets_of(_texts(part), memory)
             right = [fingerprint(s)[0] == f for s, f in zip(sets, part.column("f1").to_pylist(), strict=True)]
             columns = [part.column(k) for k in keep]
             whole = pa.RecordBatch.from_arrays([*columns, pa.array([s.tobytes() for s in sets], pa.binary())], names=[*keep, "s"])
@@ -172,23 +204,23 @@ class Join:
         batches(self.spark)
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
-    def _written(self, df: DataFrame, name: str) -> DataFrame:
-        path = shared_path(self.spark, name)
-        df.write.parquet(path)
-        return self.spark.read.parquet(path)
-
     def prepare(self) -> None:
         """members: (doc_id, copies, n, cls); classes: (cls, f1, n, p1, p2)."""
         common = self.spark.sparkContext.broadcast(bucket_counts(self.docs))
         rows = self.docs.mapInArrow(_prefixes(common), "doc_id long, f1 long, f2 long, n long, p1 array<long>, p2 array<int>")
-        sets = self._written(rows, "ngram-rows")
+        sets = keep(rows, StorageLevel.DISK_ONLY)
         one = sets.groupBy("doc_id").agg(F.min(F.struct("f1", "f2", "n")).alias("m"), F.count("*").alias("copies"))
         one = one.where(F.col("doc_id").isNotNull()).select("doc_id", "copies", "m.*")
         heads = one.groupBy("f1", "f2").agg(F.min("doc_id").alias("cls"))
-        self.members = self._written(one.join(heads, ["f1", "f2"]).select("doc_id", "copies", "n", "cls"), "ngram-members")
-        self.nulls = sets.where(F.col("doc_id").isNull()).select("n")
+        self.members = keep(one.join(heads, ["f1", "f2"]).select("doc_id", "copies", "n", "cls"))
+        self.nulls = keep(sets.where(F.col("doc_id").isNull()).select("n"))
         reps = heads.select("cls", F.col("f1").alias("g1"), F.col("f2").alias("g2"))
-        self.classes = sets.where("n > 0").join(reps, (F.col("doc_id") == F.col("cls")) & (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2"))).select("cls", "f1", "n", "p1", "p2").dropDuplicates(["cls"])
+        same = (F.col("doc_id") == F.col("cls")) & (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2"))
+        classes = sets.where("n > 0").join(reps, same).select("cls", "f1", "n", "p1", "p2").dropDuplicates(["cls"])
+        self.classes = keep(classes, StorageLevel.DISK_ONLY)
+        for made in (self.members, self.nulls, self.classes):
+            made.count()
+        sets.unpersist()
 
     def shared_tokens(self) -> DataFrame:
         """(token, pos, cls, n) of the prefix tokens that several classes hold."""
@@ -203,7 +235,7 @@ class Join:
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) whose sets reach the threshold. Several a may share a b; its set travels once."""
-        pairs = cut(self.second_filter(pairs))
+        pairs = flat(self.second_filter(pairs))
         small = (lambda df: F.broadcast(df)) if pairs.count() <= BROADCAST_PAIRS else (lambda df: df)
         marks = self.classes.select("cls", "f1")
         left = pairs.join(marks, F.col("a") == F.col("cls")).select("a", "b", "f1")
@@ -211,7 +243,7 @@ class Join:
         a = self.docs.join(small(left), F.col("doc_id") == F.col("a")).select("a", "b", "f1", "text").mapInArrow(_sets(["a", "b"]), "a long, b long, s binary").dropDuplicates(["a", "b"])
         b = self.docs.join(small(right), F.col("doc_id") == F.col("b")).select("b", "f1", "text").mapInArrow(_sets(["b"]), "b long, s binary").dropDuplicates(["b"])
         both = a.join(b.withColumnRenamed("s", "t"), "b").select("a", "b", "s", "t")
-        return cut(both.mapInArrow(_compare, "a long, b long"))
+        return flat(both.mapInArrow(_compare, "a long, b long"))
 
     @staticmethod
     def allowed(n: str, pos: str, m: str, at: str) -> Column:
@@ -221,7 +253,7 @@ class Join:
 
     def links(self) -> DataFrame:
         """Enough links (a, b) between classes to connect every component."""
-        tokens = self._written(self.shared_tokens(), "ngram-tokens")
+        tokens = flat(self.shared_tokens())
         found: list[DataFrame] = []
         label = None
         for turn in range(STARS + 1):

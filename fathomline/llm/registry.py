@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from fathomline.llm import bpe, langid, linededup, ngramjoin, topk, toxicity
+from fathomline.llm import bpe, decontam, langid, linededup, ngramjoin, topk, toxicity
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
     "op2_toxicity": toxicity.op2_toxicity,
     "op4_line_dedup": linededup.op4_line_dedup,
+    "op5_decontamination": decontam.op5_decontamination,
     "op6_ngram_join": ngramjoin.op6_ngram_join,
     "op9_language_id": langid.op9_language_id,
     "op10_topk": topk.op10_topk,
@@ -15,5 +16,6 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op4_line_dedup": linededup.OP4_SQL,
+    "op5_decontamination": decontam.OP5_SQL,
     "op10_topk": topk.OP10_SQL,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fathomline.llm import bpe, decontam, langid, linededup, ngramjoin, topk, toxicity
+from fathomline.llm import bpe, decontam, langid, licenses, linededup, ngramjoin, tokencounts, topk, toxicity
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -10,6 +10,8 @@ QUERIES = {
     "op4_line_dedup": linededup.op4_line_dedup,
     "op5_decontamination": decontam.op5_decontamination,
     "op6_ngram_join": ngramjoin.op6_ngram_join,
+    "op7_license_scan": licenses.op7_license_scan,
+    "op8_token_counts": tokencounts.op8_token_counts,
     "op9_language_id": langid.op9_language_id,
     "op10_topk": topk.op10_topk,
 }

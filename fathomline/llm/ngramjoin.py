@@ -40,31 +40,47 @@ WORDS, PERCENT = 4, 85
 BUCKET_BITS, STARS = 18, 2
 #: Pairs that are broadcast to the scan that builds their sets; more are joined by shuffling.
 BROADCAST_PAIRS = 2_000_000
-#: Remembered words of a worker.
-MEMORY = 500_000
 
 _LOWERED = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+#: White space that parts words.
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
-        if len(self) > MEMORY:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
 
+def _stir(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * _ODD
+    x = (x ^ (x >> np.uint64(27))) * _MIX
+    return x ^ (x >> np.uint64(31))
 
-def runs(texts: list[bytes | None], memory: _Hashes, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+
+def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts behind each other, and how many words each text has.
+
+    A word's hash is the sum of its bytes, each times a random odd-looking number of its place, stirred.
+    """
+    sizes = np.fromiter((len(t or b"") + 1 for t in texts), np.int64, len(texts))
+    raw = np.frombuffer(b"\n".join(t or b"" for t in texts).translate(_LOWERED) + b"\n", np.uint8)
+    solid = ~_SPACE[raw]
+    first = solid.copy()
+    first[1:] &= ~solid[:-1]
+    per_text = np.diff(np.searchsorted(np.flatnonzero(first), np.concatenate([[0], np.cumsum(sizes)])))
+    letters, begins = raw[solid], np.flatnonzero(first[solid])
+    if not len(begins):
+        return np.zeros(0, np.uint64), per_text
+    place = np.arange(len(letters)) - np.repeat(begins, np.diff(np.append(begins, len(letters))))
+    with np.errstate(over="ignore"):
+        factor = _stir(np.arange(1, int(place.max()) + 2, dtype=np.uint64) * _ODD) | np.uint64(1)
+        return _stir(np.add.reduceat((letters.astype(np.uint64) + np.uint64(1)) * factor[place], begins)), per_text
+
+
+def runs(texts: list[bytes | None], words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes of all texts behind each other (not yet distinct), and how many each text has.
 
     A text of fewer words than a shingle has one, made of all of them.
     """
-    split = [(t or b"").translate(_LOWERED).split() for t in texts]
-    sizes = np.fromiter(map(len, split), np.int64, len(split))
-    h = np.fromiter(map(memory.__getitem__, chain.from_iterable(split)), np.uint64, int(sizes.sum()))
+    h, sizes = word_hashes(texts)
     starts = np.concatenate([[0], np.cumsum(sizes)])
     counts = np.where(sizes >= words, sizes - words + 1, np.minimum(sizes, 1))
     with np.errstate(over="ignore"):
@@ -78,24 +94,24 @@ def runs(texts: list[bytes | None], memory: _Hashes, words: int = WORDS) -> tupl
 
         n = max(0, len(h) - words + 1)
         every = mix([h[k : k + n] for k in range(words)])
-        inside = np.zeros(n + words, bool)
-        for start, size in zip(starts[:-1][sizes >= words], sizes[sizes >= words], strict=True):
-            inside[start : start + size - words + 1] = True
-        if (short := np.flatnonzero((sizes > 0) & (sizes < words))).size == 0:
-            return every[inside[:n]], counts
-        out = np.zeros(int(counts.sum()), np.uint64)
-        at = np.concatenate([[0], np.cumsum(counts)])
-        from_short = np.zeros(len(out), bool)
-        from_short[at[short]] = True
-        out[~from_short] = every[inside[:n]]
+        full, short = np.flatnonzero(sizes >= words), np.flatnonzero((sizes > 0) & (sizes < words))
+        # Shingles that begin in the last words of a text would run into the next one.
+        turn = np.zeros(len(h) + 1, np.int64)
+        np.add.at(turn, starts[full], 1)
+        np.add.at(turn, starts[full] + counts[full], -1)
+        inside = every[np.cumsum(turn[:-1])[:n] > 0]
+        out, at = np.zeros(int(counts.sum()), np.uint64), np.concatenate([[0], np.cumsum(counts)])
+        alone = np.zeros(len(out), bool)
+        alone[at[short]] = True
+        out[~alone] = inside
         for i in short:
             out[at[i]] = mix([h[starts[i] + k : starts[i] + k + 1] for k in range(sizes[i])])[0]
         return out, counts
 
 
-def sets_of(texts: list[bytes | None], memory: _Hashes) -> list[np.ndarray]:
+def sets_of(texts: list[bytes | None]) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
-    every, counts = runs(texts, memory)
+    every, counts = runs(texts)
     return [np.unique(x) for x in np.split(every, np.cumsum(counts)[:-1])] if texts else []
 
 
@@ -112,10 +128,10 @@ def prefix(n: int, percent: int = PERCENT) -> int:
 
 
 def orders(tokens: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The prefix under the first order (hashes), and under the second (32-bit hashes)."""
+    """The prefix under the first order (hashes), and under the second (16 bits of hashes: it only filters)."""
     k = prefix(len(tokens))
     if not k:
-        return tokens, tokens.astype(np.uint32)
+        return tokens, tokens.astype(np.int16)
     count = common[tokens >> np.uint64(64 - BUCKET_BITS)].astype(np.uint64)
     with np.errstate(over="ignore"):
         other = (tokens ^ (tokens >> np.uint64(31))) * _MIX
@@ -124,7 +140,7 @@ def orders(tokens: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarr
     ranks = (count << np.uint64(32)) | (tokens & np.uint64(0xFFFFFFFF)), (coarse << np.uint64(56)) | (other >> np.uint64(8))
     first, second = (np.argpartition(r, k - 1)[:k] for r in ranks)
     first = first[np.argsort(ranks[0][first])]
-    return tokens[first], (other[second] >> np.uint64(32)).astype(np.uint32)
+    return tokens[first], np.unique((other[second] >> np.uint64(24)).astype(np.uint16)).view(np.int16)
 
 
 def fingerprint(tokens: np.ndarray) -> tuple[int, int]:
@@ -137,9 +153,9 @@ def _texts(part: pa.RecordBatch) -> list[bytes | None]:
 
 
 def _count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    memory, total = _Hashes(), np.zeros(1 << BUCKET_BITS, np.int64)
+    total = np.zeros(1 << BUCKET_BITS, np.int64)
     for part in parts:
-        every, _ = runs(_texts(part), memory)
+        every, _ = runs(_texts(part))
         total += np.bincount((every >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(total))
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_pydict({"bucket": pa.array(at, pa.int32()), "n": pa.array(total[at], pa.int64())})
@@ -155,18 +171,17 @@ def bucket_counts(docs: DataFrame) -> np.ndarray:
 
 def _prefixes(shared):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _Hashes()
         for part in parts:
-            sets = sets_of(_texts(part), memory)
+            sets = sets_of(_texts(part))
             marks, firsts = [fingerprint(s) for s in sets], [orders(s, shared.value) for s in sets]
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": part.column("doc_id"),
                     "f1": pa.array([m[0] for m in marks], pa.int64()),
                     "f2": pa.array([m[1] for m in marks], pa.int64()),
-                    "n": pa.array([len(s) for s in sets], pa.int64()),
+                    "n": pa.array([len(s) for s in sets], pa.int32()),
                     "p1": pa.array([p[0].view(np.int64) for p in firsts], pa.list_(pa.int64())),
-                    "p2": pa.array([p[1].view(np.int32) for p in firsts], pa.list_(pa.int32())),
+                    "p2": pa.array([p[1] for p in firsts], pa.list_(pa.int16())),
                 }
             )
 
@@ -177,9 +192,8 @@ def _sets(keep: list[str]):
     """Rows of documents that stand for a class: their sets, if this row is the one meant."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _Hashes()
         for part in parts:
-            sets = sets_of(_texts(part), memory)
+            sets = sets_of(_texts(part))
             right = [fingerprint(s)[0] == f for s, f in zip(sets, part.column("f1").to_pylist(), strict=True)]
             columns = [part.column(k) for k in keep]
             whole = pa.RecordBatch.from_arrays([*columns, pa.array([s.tobytes() for s in sets], pa.binary())], names=[*keep, "s"])
@@ -207,7 +221,7 @@ class Join:
     def prepare(self) -> None:
         """members: (doc_id, copies, n, cls); classes: (cls, f1, n, p1, p2)."""
         common = self.spark.sparkContext.broadcast(bucket_counts(self.docs))
-        rows = self.docs.mapInArrow(_prefixes(common), "doc_id long, f1 long, f2 long, n long, p1 array<long>, p2 array<int>")
+        rows = self.docs.mapInArrow(_prefixes(common), "doc_id long, f1 long, f2 long, n int, p1 array<long>, p2 array<smallint>")
         sets = keep(rows, StorageLevel.DISK_ONLY)
         one = sets.groupBy("doc_id").agg(F.min(F.struct("f1", "f2", "n")).alias("m"), F.count("*").alias("copies"))
         one = one.where(F.col("doc_id").isNotNull()).select("doc_id", "copies", "m.*")
@@ -228,22 +242,22 @@ class Join:
         group = Window.partitionBy("token")
         return rows.withColumn("held", F.count("*").over(group)).where("held > 1").select("token", "pos", "cls", "n")
 
-    def second_filter(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) that share a prefix token under the second order as well."""
-        side = lambda k: self.classes.select(F.col("cls").alias(k), F.col("p2").alias(f"p_{k}"))
-        return pairs.join(side("a"), "a").join(side("b"), "b").where(F.arrays_overlap("p_a", "p_b")).select("a", "b")
-
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose sets reach the threshold. Several a may share a b; its set travels once."""
-        pairs = flat(self.second_filter(pairs))
-        small = (lambda df: F.broadcast(df)) if pairs.count() <= BROADCAST_PAIRS else (lambda df: df)
-        marks = self.classes.select("cls", "f1")
-        left = pairs.join(marks, F.col("a") == F.col("cls")).select("a", "b", "f1")
-        right = pairs.select("b").distinct().join(marks, F.col("b") == F.col("cls")).select("b", "f1")
-        a = self.docs.join(small(left), F.col("doc_id") == F.col("a")).select("a", "b", "f1", "text").mapInArrow(_sets(["a", "b"]), "a long, b long, s binary").dropDuplicates(["a", "b"])
-        b = self.docs.join(small(right), F.col("doc_id") == F.col("b")).select("b", "f1", "text").mapInArrow(_sets(["b"]), "b long, s binary").dropDuplicates(["b"])
+        """Pairs (a, b) that share a prefix token under the second order as well and whose sets reach the threshold.
+
+        Several a may share a b; its set travels once. What is broadcast has been counted.
+        """
+        pairs = flat(pairs)
+        small = F.broadcast if pairs.count() <= BROADCAST_PAIRS else lambda df: df
+        side = self.classes.select("cls", "f1", "p2")
+        left = side.join(small(pairs), F.col("cls") == F.col("a")).select("a", "b", F.col("f1").alias("f_a"), F.col("p2").alias("p_a"))
+        right = side.join(small(pairs.select("b").distinct()), F.col("cls") == F.col("b")).select("b", F.col("f1").alias("f_b"), F.col("p2").alias("p_b"))
+        likely = flat(left.join(right, "b").where(F.arrays_overlap("p_a", "p_b")).select("a", "b", "f_a", "f_b"))
+        marks = likely.select("b", F.col("f_b").alias("f1")).distinct()
+        a = self.docs.join(small(likely), F.col("doc_id") == F.col("a")).select("a", "b", F.col("f_a").alias("f1"), "text").mapInArrow(_sets(["a", "b"]), "a long, b long, s binary")
+        b = self.docs.join(small(marks), F.col("doc_id") == F.col("b")).select("b", "f1", "text").mapInArrow(_sets(["b"]), "b long, s binary")
         both = a.join(b.withColumnRenamed("s", "t"), "b").select("a", "b", "s", "t")
-        return flat(both.mapInArrow(_compare, "a long, b long"))
+        return flat(both.mapInArrow(_compare, "a long, b long").distinct())
 
     @staticmethod
     def allowed(n: str, pos: str, m: str, at: str) -> Column:
@@ -253,15 +267,16 @@ class Join:
 
     def links(self) -> DataFrame:
         """Enough links (a, b) between classes to connect every component."""
-        tokens = flat(self.shared_tokens())
+        tokens = keep(self.shared_tokens(), StorageLevel.DISK_ONLY)
         found: list[DataFrame] = []
         label = None
         for turn in range(STARS + 1):
-            rows = tokens.withColumn("comp", F.col("cls"))
-            if label is not None:
-                rows = tokens.join(label, F.col("cls") == F.col("node"), "left").select(*tokens.columns, F.coalesce("comp", "cls").alias("comp"))
             group = Window.partitionBy("token")
-            open_ = rows.withColumns({"low": F.min("comp").over(group), "high": F.max("comp").over(group)}).where("low < high").drop("low", "high")
+            open_ = tokens.withColumn("comp", F.col("cls"))
+            if label is not None:
+                known = F.broadcast(label) if label.count() <= BROADCAST_PAIRS else label
+                rows = tokens.join(known, F.col("cls") == F.col("node"), "left").select(*tokens.columns, F.coalesce("comp", "cls").alias("comp"))
+                open_ = rows.withColumns({"low": F.min("comp").over(group), "high": F.max("comp").over(group)}).where("low < high").drop("low", "high")
             if turn < STARS:
                 led = open_.withColumn("lead", F.min(F.struct("pos", "n", "cls", "comp")).over(group))
                 led = led.where("comp <> lead.comp").select("token", "pos", "cls", "n", F.col("lead.cls").alias("b"), F.col("lead.n").alias("m"), F.col("lead.pos").alias("at"))
@@ -284,8 +299,8 @@ class Join:
         joined = self.members.join(label, F.col("cls") == F.col("node"), "left")
         # Equal sets are linked, unless they are empty.
         comp = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("comp", "cls"))
-        rows = joined.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"), F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy")).drop("copy")
-        return rows.union(self.nulls.select(F.lit(None).cast("long"), "n", F.lit(None).cast("long")))
+        rows = joined.select("doc_id", F.col("n").cast("long").alias("n_shingles"), comp.alias("component_id"), F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy")).drop("copy")
+        return rows.union(self.nulls.select(F.lit(None).cast("long"), F.col("n").cast("long"), F.lit(None).cast("long")))
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

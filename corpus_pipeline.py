@@ -1,15 +1,84 @@
-"""A corpus pipeline made of the training-data operators."""
+"""A corpus pipeline: language ID, line dedup, near-duplicate removal, decontamination, tokens.
+
+Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. Stages 1 to 4 return the columns of
+documents; the last returns each document's token count and digests. Defined cases: rows with a null id are kept by
+the stages that group by id, as nothing can tell them apart; rows that repeat an id count as one document in the
+near-duplicate stage, which keeps one of them; empty tables stay empty.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fathomline.llm import bpe, decontam, langid, linededup, ngramjoin
+from fathomline.llm.common import keep, shared_path
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a recognisable language go: null texts and texts without a letter."""
+    docs = docs.select(*COLUMNS)
+    found = langid.annotate(docs, langid.learn(docs))
+    return found.where(F.col("lang_pred") != langid.UNKNOWN).select(*COLUMNS)
+
+
+def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that ten documents or more share go; texts and their lengths change."""
+    kept = linededup.dedupe(docs.select(*COLUMNS))
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component the document with the smallest id stays."""
+    docs = docs.select(*COLUMNS)
+    found = ngramjoin.join(docs)
+    gone = keep(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct())
+    gone = F.broadcast(gone) if gone.count() <= ngramjoin.BROADCAST_PAIRS else gone
+    kept = docs.join(gone, "doc_id", "left_anti")
+    twice = keep(found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    if twice.isEmpty():
+        return kept.select(*COLUMNS)
+    repeated = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(twice, "doc_id", "left_anti").select(*COLUMNS).unionByName(repeated.select(*COLUMNS))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    docs = docs.select(*COLUMNS)
+    found = decontam.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    gone = keep(found.select("doc_id").where(F.col("doc_id").isNotNull()).distinct())
+    return docs.join(decontam.bounded(gone), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and decoded bytes."""
+    import public_tokenizers
+
+    return bpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", drop_common_lines),
+    ("ngram_join", drop_near_duplicates),
+    ("decontamination", decontaminate),
+    ("byte_bpe", encode),
+]
 
-STAGES: list = []
+# The learned first stage has no SQL; tests hold the rest against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    where = shared_path(spark, f"pipeline-{uuid.uuid4().hex}")
+    for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs.write.parquet(f"{where}/{k}-{name}")
+            docs = spark.read.parquet(f"{where}/{k}-{name}")
     return docs

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from fathomline.llm import bpe, decontam, langid, licenses, linededup, ngramjoin, tokencounts, topk, toxicity
+from fathomline.llm import bpe, decontam, langid, licenses, linededup, ngramjoin, quality, tokencounts, topk, toxicity
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_quality": quality.op3_quality,
     "op4_line_dedup": linededup.op4_line_dedup,
     "op5_decontamination": decontam.op5_decontamination,
     "op6_ngram_join": ngramjoin.op6_ngram_join,

@@ -6,7 +6,7 @@ the prefix alone, so distinct pre-tokens are inserted into a trie, each node hol
 its prefix: shared prefixes are computed once, and a pre-token's count is read at its last node. Scores are whole
 numbers (millionths of a nat), so results do not depend on the order of sums.
 
-The trie is bounded by NODES and then begun anew, which changes no result. Pre-tokens of more than LONG bytes run
+A trie of more than NODES is begun anew before the next batch, which changes no result. Pre-tokens of more than LONG bytes run
 through a plain table of the same recurrence instead.
 
 Defined cases: a null or empty text has no pre-tokens and no tokens; repeated rows are counted each; a null id stays; an
@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from operator import mul
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -41,7 +42,8 @@ class Trie:
     """Prefixes of pre-tokens with their forward scores; children by (node, byte)."""
 
     def __init__(self, score: dict[bytes, int]) -> None:
-        self.score, self.longest = score, max(map(len, score))
+        # Every end of a token, with the score of those that are tokens: what is no end of one, no longer piece can be.
+        self.ends: dict[bytes, int | None] = {token[k:]: None for token in score for k in range(1, len(token))} | score
         self.clear()
 
     def clear(self) -> None:
@@ -51,10 +53,12 @@ class Trie:
 
     def forward(self, word: bytes, best: list[tuple[int, int]], stop: int) -> tuple[int, int]:
         """Best cut of word[:stop], given those of all shorter prefixes."""
-        score = self.score
-        found = None
-        for start in range(max(0, stop - self.longest), stop):
-            value = score.get(word[start:stop])
+        ends, found = self.ends, None
+        for start in range(stop - 1, -1, -1):
+            piece = word[start:stop]
+            if piece not in ends:
+                break
+            value = ends[piece]
             if value is not None:
                 before, tokens = best[start]
                 made = (before + value, tokens - 1)
@@ -68,14 +72,13 @@ class Trie:
         known = self.counts.get(text)
         if known is not None:
             return known
-        if len(self.best) > NODES:
-            self.clear()
         word = text.encode()
         if len(word) > LONG:
             path = [(0, 0)]
             for stop in range(1, len(word) + 1):
                 path.append(self.forward(word, path, stop))
-            return -path[-1][1]
+            self.counts[text] = -path[-1][1]
+            return self.counts[text]
         node, path = 0, [(0, 0)]
         for stop, byte in enumerate(word, 1):
             there = self.child.get((node, byte))
@@ -93,10 +96,12 @@ def _counter(path: str, pattern: str):
         trie, split = Trie(scores(path)), bpe.splitter(pattern)
         for part in parts:
             found = [Counter(split.findall(t.as_py() or "")) for t in part.column("text")]
-            # Sorted, so that neighbours share prefixes.
-            for word in sorted(set().union(*found)):
+            # New ones sorted, so that neighbours share prefixes. The trie is begun anew between batches only.
+            if len(trie.best) > NODES:
+                trie.clear()
+            for word in sorted(set().union(*found).difference(trie.counts)):
                 trie.count(word)
-            totals = [sum(n * trie.count(w) for w, n in c.items()) for c in found]
+            totals = [sum(map(mul, c.values(), map(trie.counts.__getitem__, c))) for c in found]
             yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "n_pretokens": pa.array([c.total() for c in found], pa.int64()), "n_tokens": pa.array(totals, pa.int64())})
 
     return run

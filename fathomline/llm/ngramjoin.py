@@ -137,7 +137,7 @@ def orders(tokens: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarr
         other = (tokens ^ (tokens >> np.uint64(31))) * _MIX
     coarse = np.log2(count + np.uint64(1)).astype(np.uint64)
     # Commonness above, hash below; 32 and 56 bits of hash tell tokens apart that are equally common.
-    ranks = (count << np.uint64(32)) | (tokens & np.uint64(0xFFFFFFFF)), (coarse << np.uint64(56)) | (other >> np.uint64(8))
+    ranks = rank_of(tokens, common), (coarse << np.uint64(56)) | (other >> np.uint64(8))
     first, second = (np.argpartition(r, k - 1)[:k] for r in ranks)
     first = first[np.argsort(ranks[0][first])]
     return tokens[first], np.unique((other[second] >> np.uint64(24)).astype(np.uint16)).view(np.int16)
@@ -148,6 +148,40 @@ def fingerprint(tokens: np.ndarray) -> tuple[int, int]:
     return int(digest[0]), int(digest[1])
 
 
+def rank_of(tokens: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Places under the first order, as far as numbers of 64 bits can tell them."""
+    return (common[tokens >> np.uint64(64 - BUCKET_BITS)].astype(np.uint64) << np.uint64(32)) | (tokens & np.uint64(0xFFFFFFFF))
+
+
+def possible(x: np.ndarray, y: np.ndarray, n: int, m: int, common: np.ndarray) -> bool:
+    """Whether sets of n and m tokens with these first prefixes can reach the threshold.
+
+    Below the smaller of the prefixes' last places both sets are known in full: what only one of them holds there is
+    missing in the other.
+    """
+    a, b = rank_of(x, common), rank_of(y, common)
+    end = min(a[-1], b[-1])
+    x, y = x[a < end], y[b < end]
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    least = need(n, m)
+    return n - (len(x) - both) >= least and m - (len(y) - both) >= least
+
+
+def _filter(shared):
+    """Pairs that both orders let through, with what tells the documents' texts from others."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            column = {n: part.column(n).to_pylist() if n in ("n_a", "n_b") else part.column(n) for n in ("n_a", "n_b", "p_a", "p_b", "q_a", "q_b")}
+            right = []
+            for k in range(part.num_rows):
+                p, q = ((column[c + "_a"][k].values.to_numpy(), column[c + "_b"][k].values.to_numpy()) for c in "pq")
+                right.append(bool(np.isin(q[0], q[1]).any()) and possible(p[0].view(np.uint64), p[1].view(np.uint64), column["n_a"][k], column["n_b"][k], shared.value))
+            yield part.select(["a", "b", "f_a", "f_b"]).filter(pa.array(right, pa.bool_()))
+
+    return run
+
+
 def _texts(part: pa.RecordBatch) -> list[bytes | None]:
     return part.column("text").cast(pa.binary()).to_pylist()
 
@@ -220,8 +254,8 @@ class Join:
 
     def prepare(self) -> None:
         """members: (doc_id, copies, n, cls); classes: (cls, f1, n, p1, p2)."""
-        common = self.spark.sparkContext.broadcast(bucket_counts(self.docs))
-        rows = self.docs.mapInArrow(_prefixes(common), "doc_id long, f1 long, f2 long, n int, p1 array<long>, p2 array<smallint>")
+        self.common = self.spark.sparkContext.broadcast(bucket_counts(self.docs))
+        rows = self.docs.mapInArrow(_prefixes(self.common), "doc_id long, f1 long, f2 long, n int, p1 array<long>, p2 array<smallint>")
         sets = keep(rows, StorageLevel.DISK_ONLY)
         one = sets.groupBy("doc_id").agg(F.min(F.struct("f1", "f2", "n")).alias("m"), F.count("*").alias("copies"))
         one = one.where(F.col("doc_id").isNotNull()).select("doc_id", "copies", "m.*")
@@ -229,7 +263,9 @@ class Join:
         self.members = keep(one.join(heads, ["f1", "f2"]).select("doc_id", "copies", "n", "cls"))
         self.nulls = keep(sets.where(F.col("doc_id").isNull()).select("n"))
         reps = heads.select("cls", F.col("f1").alias("g1"), F.col("f2").alias("g2"))
-        same = (F.col("doc_id") == F.col("cls")) & (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2"))
+        # Fingerprints are compared by order, not as join keys, so that rows stay dealt by class alone.
+        within = lambda f, g: (F.col(f) <= F.col(g)) & (F.col(f) >= F.col(g))
+        same = (F.col("doc_id") == F.col("cls")) & within("f1", "g1") & within("f2", "g2")
         classes = sets.where("n > 0").join(reps, same).select("cls", "f1", "n", "p1", "p2").dropDuplicates(["cls"])
         self.classes = keep(classes, StorageLevel.DISK_ONLY)
         for made in (self.members, self.nulls, self.classes):
@@ -243,16 +279,17 @@ class Join:
         return rows.withColumn("held", F.count("*").over(group)).where("held > 1").select("token", "pos", "cls", "n")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) that share a prefix token under the second order as well and whose sets reach the threshold.
+        """Pairs (a, b) that both orders' prefixes let through and whose sets reach the threshold.
 
         Several a may share a b; its set travels once. What is broadcast has been counted.
         """
         pairs = flat(pairs)
         small = F.broadcast if pairs.count() <= BROADCAST_PAIRS else lambda df: df
-        side = self.classes.select("cls", "f1", "p2")
-        left = side.join(small(pairs), F.col("cls") == F.col("a")).select("a", "b", F.col("f1").alias("f_a"), F.col("p2").alias("p_a"))
-        right = side.join(small(pairs.select("b").distinct()), F.col("cls") == F.col("b")).select("b", F.col("f1").alias("f_b"), F.col("p2").alias("p_b"))
-        likely = flat(left.join(right, "b").where(F.arrays_overlap("p_a", "p_b")).select("a", "b", "f_a", "f_b"))
+        side = lambda k: self.classes.select(F.col("cls").alias(f"c_{k}"), *(F.col(c).alias(f"{n}_{k}") for c, n in (("f1", "f"), ("n", "n"), ("p1", "p"), ("p2", "q"))))
+        left = side("a").join(small(pairs), F.col("c_a") == F.col("a")).drop("c_a")
+        right = side("b").join(small(pairs.select("b").distinct()), F.col("c_b") == F.col("b")).drop("c_b")
+        both = left.join(right, "b").select("a", "b", "f_a", "f_b", "n_a", "n_b", "p_a", "p_b", "q_a", "q_b")
+        likely = flat(both.mapInArrow(_filter(self.common), "a long, b long, f_a long, f_b long"))
         marks = likely.select("b", F.col("f_b").alias("f1")).distinct()
         a = self.docs.join(small(likely), F.col("doc_id") == F.col("a")).select("a", "b", F.col("f_a").alias("f1"), "text").mapInArrow(_sets(["a", "b"]), "a long, b long, s binary")
         b = self.docs.join(small(marks), F.col("doc_id") == F.col("b")).select("b", "f1", "text").mapInArrow(_sets(["b"]), "b long, s binary")

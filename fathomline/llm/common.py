@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 FOLDS = 5
 
 #: Rows in one Arrow batch that is handed to a Python worker; whole texts travel, so batches are kept short.
-BATCH_ROWS = 500
+BATCH_ROWS = 200
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -40,6 +40,8 @@ WORDS, PERCENT = 4, 85
 BUCKET_BITS, STARS = 18, 2
 #: Pairs that are broadcast to the scan that builds their sets; more are joined by shuffling.
 BROADCAST_PAIRS = 2_000_000
+#: Bytes of text that are hashed at once.
+PORTION = 1 << 20
 
 _LOWERED = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -109,10 +111,27 @@ def runs(texts: list[bytes | None], words: int = WORDS) -> tuple[np.ndarray, np.
         return out, counts
 
 
+def portions(texts: list[bytes | None]) -> Iterator[list[bytes | None]]:
+    """Texts in portions of about PORTION bytes: hashing takes some 40 bytes of memory for each."""
+    held: list[bytes | None] = []
+    size = 0
+    for text in texts:
+        held.append(text)
+        size += len(text or b"")
+        if size >= PORTION:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def sets_of(texts: list[bytes | None]) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
-    every, counts = runs(texts)
-    return [np.unique(x) for x in np.split(every, np.cumsum(counts)[:-1])] if texts else []
+    out: list[np.ndarray] = []
+    for portion in portions(texts):
+        every, counts = runs(portion)
+        out += [np.unique(x) for x in np.split(every, np.cumsum(counts)[:-1])]
+    return out
 
 
 def need(x, y, percent: int = PERCENT):
@@ -189,8 +208,9 @@ def _texts(part: pa.RecordBatch) -> list[bytes | None]:
 def _count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1 << BUCKET_BITS, np.int64)
     for part in parts:
-        every, _ = runs(_texts(part))
-        total += np.bincount((every >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(total))
+        for portion in portions(_texts(part)):
+            every, _ = runs(portion)
+            total += np.bincount((every >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(total))
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_pydict({"bucket": pa.array(at, pa.int32()), "n": pa.array(total[at], pa.int64())})
 

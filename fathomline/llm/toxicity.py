@@ -10,7 +10,7 @@ among labelled documents that no earlier feature covers, so that words that mere
 document are not taken up. Each feature has the smoothed share of toxic documents among those that hold it, weighted
 to the labels' real proportions; a document's features combine as a noisy or, over the rate of documents without any.
 
-The labelled sample is bounded: SAMPLE documents of either label, chosen by a hash of the id; all else covers all rows
+The labelled sample is bounded: about SAMPLE documents of either label, chosen by a hash of the id; all else covers all rows
 and whole texts. Defined cases: null and empty texts have no features and get the base rate; repeated rows are scored
 each; a document with several labels counts as toxic if one says so; null labels teach nothing, and with no labels all
 scores are 0; an empty table gives none; the result has the id and the columns listed, whatever else the input has.
@@ -26,13 +26,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomline.llm.common import batches, fold, table
 
 #: Labelled documents of either label that are learned from; candidate features that are weighed in the driver.
 SAMPLE, CANDIDATES = 5000, 1500
+#: Parts into which a hash deals the ids when a label's share is taken.
+PARTS = 1 << 20
 #: Lengths of word beginnings; least likelihood ratio (G squared) and toxic documents of a feature among those that none
 #: covers yet; its least share of toxic documents in the whole sample.
 PREFIXES, LEAST_RATIO, LEAST_HELD, LEAST_SHARE = (4, 5, 6), 13.0, 3, 0.8
@@ -240,14 +242,15 @@ class Scorer:
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, float]]:
-    """At most SAMPLE training documents of either label (doc_id, text, toxic), and what each stands for."""
+    """About SAMPLE training documents of either label (doc_id, text, toxic), and what each stands for."""
     one = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 0)).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     sizes = {r["toxic"]: r["count"] for r in one.groupBy("toxic").count().collect()}
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = one.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE).drop("place")
+    # A share of either label by a hash of the id, so that no task ranks a label's documents.
+    most = F.when(F.col("toxic") == 1, F.lit(round(PARTS * min(1.0, SAMPLE / max(1, sizes.get(1, 0)))))).otherwise(F.lit(round(PARTS * min(1.0, SAMPLE / max(1, sizes.get(0, 0))))))
+    chosen = one.where(F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)) < most)
     texts = docs.select(F.col("doc_id"), F.col("text")).where(F.col("text").isNotNull())
     weight = {k: max(1.0, n / SAMPLE) for k, n in sizes.items()}
-    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic"), weight  # 2 * SAMPLE rows at most
+    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic"), weight  # about 2 * SAMPLE rows
 
 
 def _count_features(shared):

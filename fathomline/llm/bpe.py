@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import batches
+from fathomline.llm.common import batches, release
 
 #: Code points of a chunk's own part, and of the part that it shares with its successor.
 CHUNK, OVERLAP = 1 << 15, 1 << 11
@@ -182,12 +182,19 @@ def stitches(long: DataFrame, pattern: str) -> DataFrame:
     return whole.select("doc_id", "sha", meet.alias("meet")).select("doc_id", "sha", F.concat(F.array(F.lit(0).cast("long")), proven).alias("cuts"))
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens and ids (little-endian unsigned 32-bit integers, as one binary) of every row."""
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """doc_id, n_tokens and ids (little-endian unsigned 32-bit integers, as one binary) of every row.
+
+    With `decoded` the ids' bytes as well; what is encoded in one piece is then decoded by the same worker.
+    """
     batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     is_long = F.length("text") > CHUNK + OVERLAP
-    short = rows.where(~is_long).mapInArrow(_encoder(path, pattern, ["doc_id"]), ENCODED)
+    encoder, decoder = _encoder(path, pattern, ["doc_id"]), _decoder(path, ("doc_id", "n_tokens", "ids"))
+    if decoded:
+        short = rows.where(~is_long).mapInArrow(lambda parts: decoder(encoder(parts)), ENCODED + ", decoded binary")
+    else:
+        short = rows.where(~is_long).mapInArrow(encoder, ENCODED)
 
     long = rows.where(is_long).withColumn("sha", F.sha2("text", 256))
     cuts = stitches(long, pattern).select(F.col("doc_id").alias("cut_id"), F.col("sha").alias("cut_sha"), "cuts")
@@ -207,12 +214,11 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     )
     ids = F.unhex(F.array_join(F.transform("parts", lambda p: F.hex(p["ids"])), ""))
     again = F.explode(F.array_repeat(F.lit(0), F.col("copies")))
-    return short.unionByName(whole.select("doc_id", "n_tokens", ids.alias("ids"), again.alias("copy")).drop("copy"))
+    put = whole.select("doc_id", "n_tokens", ids.alias("ids"), again.alias("copy")).drop("copy")
+    return short.unionByName(decode(put, path) if decoded else put)
 
 
-def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id", "n_tokens", "ids")) -> DataFrame:
-    """Adds the raw bytes of the ids, as decoded."""
-
+def _decoder(path: str, keep: tuple[str, ...]):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
@@ -220,13 +226,19 @@ def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id", "n_
         for part in parts:
             raw = [b"".join(map(token, np.frombuffer(x.as_py(), "<u4").tolist())) for x in part.column("ids")]
             yield pa.RecordBatch.from_arrays([*(part.column(n) for n in keep), pa.array(raw, pa.binary())], names=[*keep, "decoded"])
+        release()
 
+    return run
+
+
+def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id", "n_tokens", "ids")) -> DataFrame:
+    """Adds the raw bytes of the ids, as decoded."""
     kinds = dict(encoded.dtypes)
-    return encoded.select(*keep).mapInArrow(run, ", ".join(f"{n} {kinds[n]}" for n in keep) + ", decoded binary")
+    return encoded.select(*keep).mapInArrow(_decoder(path, keep), ", ".join(f"{n} {kinds[n]}" for n in keep) + ", decoded binary")
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    coded = decode(encode(docs, path, pattern), path)
+    coded = encode(docs, path, pattern, decoded=True)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

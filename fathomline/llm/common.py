@@ -77,3 +77,18 @@ def remove(spark: SparkSession, path: str) -> None:
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release() -> None:
+    """Give memory that a finished piece of work has freed back to the system: workers and drivers live long."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # a C library without it
+        pass

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import batches, fold, table
+from fathomline.llm.common import batches, fold, release, table
 
 #: Training texts for each language, landmarks in all, and languages.
 SAMPLE, LANDMARKS, LANGUAGES = 240, 192, 64
@@ -173,13 +173,16 @@ def annotate(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
             found = [m.score(texts.slice(i, ROWS).to_pylist()) for i in range(0, len(texts), ROWS)]
             lang, score = pa.array([x for f in found for x in f[0]], pa.string()), pa.array([x for f in found for x in f[1]], pa.float64())
             yield pa.RecordBatch.from_arrays([*part.columns, lang, score], names=[*names, "lang_pred", "score"])
+        release()
 
     schema = kept.withColumns({"lang_pred": F.lit("").cast("string"), "score": F.lit(0.0)}).schema
     return kept.mapInArrow(run, schema)
 
 
 def learn(docs: DataFrame) -> Model:
-    return fit(sample(docs))
+    model = fit(sample(docs))
+    release()
+    return model
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

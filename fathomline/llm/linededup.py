@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import batches, hash128, remove, shared_path, table
+from fathomline.llm.common import batches, hash128, release, remove, shared_path, table
 
 #: Documents that must hold a line, shortest key in code points, runs of a level that are compacted, batches of a table.
 THRESHOLD, MIN_KEY, FAN, BATCHES = 10, 1, 2, 2
@@ -126,6 +126,7 @@ def _rewriter(common, seeds: tuple[int, int], names: list[str], at: int):
             columns = [*part.columns, *(pa.array([d[k] for d in done], pa.int64()) for k in (1, 2))]
             columns[at] = pa.array([d[0] for d in done], pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "n_lines", "n_dropped"])
+        release()
 
     return run
 

@@ -31,7 +31,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import batches, flat, keep, table
+from fathomline.llm.common import batches, flat, keep, release, table
 from fathomline.llm.components import components
 
 #: Words of a shingle, and the threshold in hundredths.
@@ -211,6 +211,7 @@ def _count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for portion in portions(_texts(part)):
             every, _ = runs(portion)
             total += np.bincount((every >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(total))
+    release()
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_pydict({"bucket": pa.array(at, pa.int32()), "n": pa.array(total[at], pa.int64())})
 
@@ -220,6 +221,8 @@ def bucket_counts(docs: DataFrame) -> np.ndarray:
     rows = docs.select("text").mapInArrow(_count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(1 << BUCKET_BITS, np.int64)
     out[rows["bucket"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
+    del rows
+    release()
     return np.minimum(out, np.iinfo(np.int32).max).astype(np.int32)
 
 
@@ -238,6 +241,7 @@ def _prefixes(shared):
                     "p2": pa.array([p[1] for p in firsts], pa.list_(pa.int16())),
                 }
             )
+        release()
 
     return run
 
@@ -252,6 +256,7 @@ def _sets(keep: list[str]):
             columns = [part.column(k) for k in keep]
             whole = pa.RecordBatch.from_arrays([*columns, pa.array([s.tobytes() for s in sets], pa.binary())], names=[*keep, "s"])
             yield whole.filter(pa.array(right, pa.bool_()))
+        release()
 
     return run
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fathomline.functions import grid
-from fathomline.functions.scalars import round_at, share_of_duplicates
+from fathomline.functions.scalars import round_at, safe_double, share_of_duplicates
 
 #: Cells of a region that are broadcast at most; a finer region is joined by shuffling.
 BROADCAST_CELLS = 2_000_000
@@ -90,7 +90,7 @@ def extract(rows: DataFrame, res: int) -> DataFrame:
     first = rows.join(counts, same)
     one = Window.partitionBy("key", "file").orderBy("unique_id", "provider")
     kept = first.withColumn("rn", F.row_number().over(one)).where("rn = 1")
-    return kept.select("key", "provider", "unique_id", "time", F.col("lon_d").alias("lon"), F.col("lat_d").alias("lat"), "depth", grid.to_string(F.col("h3")).alias(f"h3_r{res}"), "n_copies", F.col("file").alias("first_file"))
+    return kept.select("key", "provider", "unique_id", "time", F.col("lon_d").alias("lon"), F.col("lat_d").alias("lat"), safe_double(F.col("depth").cast("string")).alias("depth"), grid.to_string(F.col("h3")).alias(f"h3_r{res}"), "n_copies", F.col("file").alias("first_file"))
 
 
 def extract_cells(rows: DataFrame) -> DataFrame:

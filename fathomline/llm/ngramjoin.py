@@ -371,3 +371,19 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(table(spark, sf_dir, "documents"))
+
+
+OP6_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= {WORDS} THEN list_transform(range(1, len(w) - {WORDS} + 2), lambda i: array_to_string(w[i:i + {WORDS} - 1], ' '))
+                                           WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS t FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= {PERCENT} * (a.n + b.n - k)
+), reach AS (SELECT doc_id AS id, doc_id AS r FROM documents UNION SELECT id, y FROM reach JOIN links ON x = r
+)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.r AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT id, min(r) AS r FROM reach GROUP BY id) c ON c.id = d.doc_id
+"""

@@ -20,5 +20,6 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op4_line_dedup": linededup.OP4_SQL,
     "op5_decontamination": decontam.OP5_SQL,
+    "op6_ngram_join": ngramjoin.OP6_SQL,
     "op10_topk": topk.OP10_SQL,
 }

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomline.llm import bpe, decontam, langid, linededup, ngramjoin
-from fathomline.llm.common import keep, shared_path
+from fathomline.llm.common import drop_kept, keep, shared_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -80,5 +80,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs.write.parquet(f"{where}/{k}-{name}")
+            drop_kept()
             docs = spark.read.parquet(f"{where}/{k}-{name}")
     return docs

@@ -15,6 +15,10 @@ FOLDS = 5
 BATCH_ROWS = 200
 
 
+#: What `keep` has persisted.
+KEPT: list[DataFrame] = []
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -49,12 +53,19 @@ def cut(df: DataFrame) -> DataFrame:
 
 def keep(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
     """Compute once, when first read. Parts that go with an executor are computed again from the lineage."""
-    return df.persist(level)
+    KEPT.append(df.persist(level))
+    return KEPT[-1]
+
+
+def drop_kept() -> None:
+    """Give back what operators have kept, once their results are written. What is read again is computed again."""
+    while KEPT:
+        KEPT.pop().unpersist()
 
 
 def flat(df: DataFrame) -> DataFrame:
     """Like `keep`, with a plan that does not hold the plans it was made from: loops would double those every round."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = keep(df)
     spark = df.sparkSession
     return DataFrame(spark._jsparkSession.createDataFrame(kept._jdf.javaRDD(), kept._jdf.schema()), spark)
 

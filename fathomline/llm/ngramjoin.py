@@ -40,6 +40,8 @@ WORDS, PERCENT = 4, 85
 BUCKET_BITS, STARS = 18, 2
 #: Pairs that are broadcast to the scan that builds their sets; more are joined by shuffling.
 BROADCAST_PAIRS = 2_000_000
+#: Equal sets that make a class large, and large classes that are broadcast at most.
+LARGE_CLASS, LARGE_CLASSES = 500, 500_000
 #: Bytes of text that are hashed at once.
 PORTION = 1 << 20
 
@@ -284,8 +286,8 @@ class Join:
         sets = keep(rows, StorageLevel.DISK_ONLY)
         one = sets.groupBy("doc_id").agg(F.min(F.struct("f1", "f2", "n")).alias("m"), F.count("*").alias("copies"))
         one = one.where(F.col("doc_id").isNotNull()).select("doc_id", "copies", "m.*")
-        heads = one.groupBy("f1", "f2").agg(F.min("doc_id").alias("cls"))
-        self.members = keep(one.join(heads, ["f1", "f2"]).select("doc_id", "copies", "n", "cls"))
+        heads = keep(one.groupBy("f1", "f2").agg(F.min("doc_id").alias("cls"), F.count("*").alias("size")))
+        self.members = keep(self._members(one, heads))
         self.nulls = keep(sets.where(F.col("doc_id").isNull()).select("n"))
         reps = heads.select("cls", F.col("f1").alias("g1"), F.col("f2").alias("g2"))
         # Fingerprints are compared by order, not as join keys, so that rows stay dealt by class alone.
@@ -297,6 +299,17 @@ class Join:
             made.count()
         sets.unpersist()
 
+    @staticmethod
+    def _members(one: DataFrame, heads: DataFrame) -> DataFrame:
+        """Documents with their class. The few large classes are broadcast, so that none is gathered in one task."""
+        columns = ["doc_id", "copies", "n", "cls"]
+        large = heads.where(F.col("size") >= LARGE_CLASS).select("f1", "f2", "cls")
+        if not 0 < large.count() <= LARGE_CLASSES:
+            return one.join(heads, ["f1", "f2"]).select(*columns)
+        placed = one.join(F.broadcast(large.withColumnRenamed("cls", "big")), ["f1", "f2"], "left")
+        rest = placed.where(F.col("big").isNull()).drop("big").join(heads.where(F.col("size") < LARGE_CLASS), ["f1", "f2"]).select(*columns)
+        return placed.where(F.col("big").isNotNull()).withColumnRenamed("big", "cls").select(*columns).unionByName(rest)
+
     def shared_tokens(self) -> DataFrame:
         """(token, pos, cls, n) of the prefix tokens that several classes hold."""
         rows = self.classes.select("cls", "n", F.posexplode("p1").alias("pos", "token"))

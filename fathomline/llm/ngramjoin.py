@@ -23,7 +23,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import reduce
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa

@@ -18,7 +18,6 @@ scores are 0; an empty table gives none; the result has the id and the columns l
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator

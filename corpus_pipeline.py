@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from fathomline.llm import bpe, decontam, langid, linededup, ngramjoin
 from fathomline.llm.common import keep, shared_path
 
+#: Near duplicates: words of a shingle, and the threshold in hundredths (op6_ngram_join has its own).
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -35,7 +37,7 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component the document with the smallest id stays."""
     docs = docs.select(*COLUMNS)
-    found = ngramjoin.join(docs)
+    found = ngramjoin.join(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
     gone = keep(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct())
     gone = F.broadcast(gone) if gone.count() <= ngramjoin.BROADCAST_PAIRS else gone
     kept = docs.join(gone, "doc_id", "left_anti")

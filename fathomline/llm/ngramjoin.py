@@ -1,6 +1,6 @@
 """N-gram Jaccard join with prefix filters under several global token orders.
 
-A document is the set of its distinct shingles of WORDS words (64-bit hashes). Documents with equal sets form a class,
+A document is the set of its distinct shingles of `words` words (64-bit hashes). Documents with equal sets form a class,
 of which the smallest id stands for all. If two sets reach the threshold, then under any total order of all tokens
 their first tokens (a prefix whose length follows from the sizes) share one. Two orders are used: by how common a
 token's hash bucket is in the corpus, rare first, ties by hash; and by coarse commonness, ties by another hash. The
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from fathomline.llm.common import batches, flat, keep, release, table
 from fathomline.llm.components import components
 
-#: Words of a shingle, and the threshold in hundredths.
+#: Words of a shingle, and the threshold in hundredths, where a caller names no others.
 WORDS, PERCENT = 4, 85
 #: Bits of the table of bucket counts (4 bytes each are broadcast), rounds of stars before the rest is compared in full.
 BUCKET_BITS, STARS = 18, 2
@@ -126,11 +126,11 @@ def portions(texts: list[bytes | None]) -> Iterator[list[bytes | None]]:
         yield held
 
 
-def sets_of(texts: list[bytes | None]) -> list[np.ndarray]:
+def sets_of(texts: list[bytes | None], words: int = WORDS) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     out: list[np.ndarray] = []
     for portion in portions(texts):
-        every, counts = runs(portion)
+        every, counts = runs(portion, words)
         out += [np.unique(x) for x in np.split(every, np.cumsum(counts)[:-1])]
     return out
 
@@ -147,9 +147,9 @@ def prefix(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
-def orders(tokens: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def orders(tokens: np.ndarray, common: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """The prefix under the first order (hashes), and under the second (16 bits of hashes: it only filters)."""
-    k = prefix(len(tokens))
+    k = prefix(len(tokens), percent)
     if not k:
         return tokens, tokens.astype(np.int16)
     count = common[tokens >> np.uint64(64 - BUCKET_BITS)].astype(np.uint64)
@@ -173,7 +173,7 @@ def rank_of(tokens: np.ndarray, common: np.ndarray) -> np.ndarray:
     return (common[tokens >> np.uint64(64 - BUCKET_BITS)].astype(np.uint64) << np.uint64(32)) | (tokens & np.uint64(0xFFFFFFFF))
 
 
-def possible(x: np.ndarray, y: np.ndarray, n: int, m: int, common: np.ndarray) -> bool:
+def possible(x: np.ndarray, y: np.ndarray, n: int, m: int, common: np.ndarray, percent: int = PERCENT) -> bool:
     """Whether sets of n and m tokens with these first prefixes can reach the threshold.
 
     Below the smaller of the prefixes' last places both sets are known in full: what only one of them holds there is
@@ -183,11 +183,11 @@ def possible(x: np.ndarray, y: np.ndarray, n: int, m: int, common: np.ndarray) -
     end = min(a[-1], b[-1])
     x, y = x[a < end], y[b < end]
     both = len(np.intersect1d(x, y, assume_unique=True))
-    least = need(n, m)
+    least = need(n, m, percent)
     return n - (len(x) - both) >= least and m - (len(y) - both) >= least
 
 
-def _filter(shared):
+def _filter(shared, percent: int):
     """Pairs that both orders let through, with what tells the documents' texts from others."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,7 +196,7 @@ def _filter(shared):
             right = []
             for k in range(part.num_rows):
                 p, q = ((column[c + "_a"][k].values.to_numpy(), column[c + "_b"][k].values.to_numpy()) for c in "pq")
-                right.append(bool(np.isin(q[0], q[1]).any()) and possible(p[0].view(np.uint64), p[1].view(np.uint64), column["n_a"][k], column["n_b"][k], shared.value))
+                right.append(bool(np.isin(q[0], q[1]).any()) and possible(p[0].view(np.uint64), p[1].view(np.uint64), column["n_a"][k], column["n_b"][k], shared.value, percent))
             yield part.select(["a", "b", "f_a", "f_b"]).filter(pa.array(right, pa.bool_()))
 
     return run
@@ -206,20 +206,23 @@ def _texts(part: pa.RecordBatch) -> list[bytes | None]:
     return part.column("text").cast(pa.binary()).to_pylist()
 
 
-def _count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << BUCKET_BITS, np.int64)
-    for part in parts:
-        for portion in portions(_texts(part)):
-            every, _ = runs(portion)
-            total += np.bincount((every >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(total))
-    release()
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_pydict({"bucket": pa.array(at, pa.int32()), "n": pa.array(total[at], pa.int64())})
+def _count(words: int):
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << BUCKET_BITS, np.int64)
+        for part in parts:
+            for portion in portions(_texts(part)):
+                every, _ = runs(portion, words)
+                total += np.bincount((every >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(total))
+        release()
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array(at, pa.int32()), "n": pa.array(total[at], pa.int64())})
+
+    return run
 
 
-def bucket_counts(docs: DataFrame) -> np.ndarray:
+def bucket_counts(docs: DataFrame, words: int = WORDS) -> np.ndarray:
     """How many shingles of all documents fall into each bucket: a table of fixed size, over all rows."""
-    rows = docs.select("text").mapInArrow(_count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    rows = docs.select("text").mapInArrow(_count(words), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(1 << BUCKET_BITS, np.int64)
     out[rows["bucket"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
     del rows
@@ -227,11 +230,11 @@ def bucket_counts(docs: DataFrame) -> np.ndarray:
     return np.minimum(out, np.iinfo(np.int32).max).astype(np.int32)
 
 
-def _prefixes(shared):
+def _prefixes(shared, words: int, percent: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            sets = sets_of(_texts(part))
-            marks, firsts = [fingerprint(s) for s in sets], [orders(s, shared.value) for s in sets]
+            sets = sets_of(_texts(part), words)
+            marks, firsts = [fingerprint(s) for s in sets], [orders(s, shared.value, percent) for s in sets]
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": part.column("doc_id"),
@@ -247,12 +250,12 @@ def _prefixes(shared):
     return run
 
 
-def _sets(keep: list[str]):
+def _sets(keep: list[str], words: int):
     """Rows of documents that stand for a class: their sets, if this row is the one meant."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            sets = sets_of(_texts(part))
+            sets = sets_of(_texts(part), words)
             right = [fingerprint(s)[0] == f for s, f in zip(sets, part.column("f1").to_pylist(), strict=True)]
             columns = [part.column(k) for k in keep]
             whole = pa.RecordBatch.from_arrays([*columns, pa.array([s.tobytes() for s in sets], pa.binary())], names=[*keep, "s"])
@@ -262,26 +265,29 @@ def _sets(keep: list[str]):
     return run
 
 
-def _compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in parts:
-        right = []
-        for x, y in zip(part.column("s"), part.column("t"), strict=True):
-            x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            right.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-        yield part.select(["a", "b"]).filter(pa.array(right, pa.bool_()))
+def _compare(percent: int):
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            right = []
+            for x, y in zip(part.column("s"), part.column("t"), strict=True):
+                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                right.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield part.select(["a", "b"]).filter(pa.array(right, pa.bool_()))
+
+    return run
 
 
 class Join:
-    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> None:
-        self.spark = docs.sparkSession
+    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> None:
+        self.spark, self.words, self.percent = docs.sparkSession, words, percent
         batches(self.spark)
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def prepare(self) -> None:
         """members: (doc_id, copies, n, cls); classes: (cls, f1, n, p1, p2)."""
-        self.common = self.spark.sparkContext.broadcast(bucket_counts(self.docs))
-        rows = self.docs.mapInArrow(_prefixes(self.common), "doc_id long, f1 long, f2 long, n int, p1 array<long>, p2 array<smallint>")
+        self.common = self.spark.sparkContext.broadcast(bucket_counts(self.docs, self.words))
+        rows = self.docs.mapInArrow(_prefixes(self.common, self.words, self.percent), "doc_id long, f1 long, f2 long, n int, p1 array<long>, p2 array<smallint>")
         sets = keep(rows, StorageLevel.DISK_ONLY)
         one = sets.groupBy("doc_id").agg(F.min(F.struct("f1", "f2", "n")).alias("m"), F.count("*").alias("copies"))
         one = one.where(F.col("doc_id").isNotNull()).select("doc_id", "copies", "m.*")
@@ -326,17 +332,16 @@ class Join:
         left = side("a").join(small(pairs), F.col("c_a") == F.col("a")).drop("c_a")
         right = side("b").join(small(pairs.select("b").distinct()), F.col("c_b") == F.col("b")).drop("c_b")
         both = left.join(right, "b").select("a", "b", "f_a", "f_b", "n_a", "n_b", "p_a", "p_b", "q_a", "q_b")
-        likely = flat(both.mapInArrow(_filter(self.common), "a long, b long, f_a long, f_b long"))
+        likely = flat(both.mapInArrow(_filter(self.common, self.percent), "a long, b long, f_a long, f_b long"))
         marks = likely.select("b", F.col("f_b").alias("f1")).distinct()
-        a = self.docs.join(small(likely), F.col("doc_id") == F.col("a")).select("a", "b", F.col("f_a").alias("f1"), "text").mapInArrow(_sets(["a", "b"]), "a long, b long, s binary")
-        b = self.docs.join(small(marks), F.col("doc_id") == F.col("b")).select("b", "f1", "text").mapInArrow(_sets(["b"]), "b long, s binary")
+        a = self.docs.join(small(likely), F.col("doc_id") == F.col("a")).select("a", "b", F.col("f_a").alias("f1"), "text").mapInArrow(_sets(["a", "b"], self.words), "a long, b long, s binary")
+        b = self.docs.join(small(marks), F.col("doc_id") == F.col("b")).select("b", "f1", "text").mapInArrow(_sets(["b"], self.words), "b long, s binary")
         both = a.join(b.withColumnRenamed("s", "t"), "b").select("a", "b", "s", "t")
-        return flat(both.mapInArrow(_compare, "a long, b long").distinct())
+        return flat(both.mapInArrow(_compare(self.percent), "a long, b long").distinct())
 
-    @staticmethod
-    def allowed(n: str, pos: str, m: str, at: str) -> Column:
+    def allowed(self, n: str, pos: str, m: str, at: str) -> Column:
         """Whether a first shared token at these positions leaves room for the threshold."""
-        least = need(F.col(n), F.col(m))
+        least = need(F.col(n), F.col(m), self.percent)
         return (F.col(pos) <= F.col(n) - least) & (F.col(at) <= F.col(m) - least)
 
     def links(self) -> DataFrame:
@@ -377,8 +382,8 @@ class Join:
         return rows.union(self.nulls.select(F.lit(None).cast("long"), F.col("n").cast("long"), F.lit(None).cast("long")))
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return Join(docs, id_col, text_col).result()
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    return Join(docs, id_col, text_col, words, percent).result()
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,3 +60,23 @@ def test_odd_rows(spark, tmp_path):
             docs = spark.read.parquet(str(tmp_path / f"{n}{name}"))
         assert sorted((r.doc_id is None, r.doc_id) for r in docs.collect() if r.doc_id is not None) == ([(False, 1), (False, 6), (False, 7)] if data else [])
         assert docs.count() == (4 if data else 0)
+
+
+def test_near_duplicates_take_five_words_and_four_fifths(spark):
+    """Sets of 5 words at 0.80: a copy with a fifth added goes, one below the threshold stays."""
+    base, schema = [f"w{k}" for k in range(100)], "doc_id long, text string, lang string, source string, n_chars long"
+    texts = [" ".join(base), " ".join(base + [f"x{k}" for k in range(20)]), " ".join(base + [f"y{k}" for k in range(40)]), *(t for t in test_ngramjoin.corpus(4) if t)]
+    data = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    sets = []
+    for t in texts:
+        w = "".join(c.lower() if "A" <= c <= "Z" else c for c in t).replace("\t", " ").replace("\n", " ").split(" ")
+        w = [x for x in w if x]
+        sets.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    root = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                x, y = root[i], root[j]
+                root = [min(x, y) if r in (x, y) else r for r in root]
+    got = set(rows(cp.drop_near_duplicates(spark, spark.createDataFrame(data, schema), SF)))
+    assert got == {i for i, r in enumerate(root) if i == r} and 1 not in got and 2 in got

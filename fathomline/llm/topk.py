@@ -71,9 +71,11 @@ class Running:
 
     def tile(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         got = products(self.vectors, vectors)
-        if got.shape[1] > self.k and np.isneginf(self.cut).any() and got.dtype != object:
-            self.cut = np.maximum(self.cut, np.partition(got, -self.k - 1, axis=1)[:, -self.k - 1])  # one place may be its own
-        q, c = np.nonzero((got >= self.cut[:, None]) & (self.ids[:, None] != ids[None, :]))
+        own = self.ids[:, None] == ids[None, :]
+        if got.shape[1] >= self.k and np.isneginf(self.cut).any() and got.dtype != object:
+            got[own] = -np.inf  # however many rows are its own, k others reach the cut, or there is none
+            self.cut = np.maximum(self.cut, np.partition(got, -self.k, axis=1)[:, -self.k])
+        q, c = np.nonzero((got >= self.cut[:, None]) & ~own)
         query, found, score = np.r_[self.query, q], np.r_[self.found, ids[c]], np.r_[self.score, got[q, c]]
         keep = best(query, found, score, self.k)
         self.query, self.found, self.score = query[keep], found[keep], score[keep]

@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
 import pytest
 
 from fathomline.llm import topk
@@ -41,3 +42,16 @@ def test_large_components_stay_exact(spark):
 def test_nothing_to_find(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA)
     assert topk.search(df, df).collect() == []
+
+
+@pytest.mark.parametrize("own", [0, 3, 11, 40, 60])
+def test_rows_of_the_query_take_no_places_of_the_cut(own):
+    """With its id many times in a tile, the k best others are found all the same."""
+    rnd = np.random.default_rng(own)
+    query = np.array([[8.0, 8.0, 8.0]])
+    tiles = [(np.r_[np.full(own, 7), np.arange(100, 163 - own)], np.r_[np.repeat(query, own, axis=0), rnd.integers(-8, 8, (63 - own, 3)).astype(float)]), (np.arange(200, 230), rnd.integers(-8, 8, (30, 3)).astype(float))]
+    running = topk.Running(np.array([7]), query, 10)
+    for ids, vectors in tiles:
+        running.tile(ids, vectors)
+    others = [(-float(query[0] @ v), int(i)) for ids, vectors in tiles for i, v in zip(ids, vectors, strict=True) if i != 7]
+    assert sorted(zip((-running.score).tolist(), running.found.tolist(), strict=True)) == sorted(others)[:10]

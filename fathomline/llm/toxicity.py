@@ -56,8 +56,10 @@ LETTERS = 26 + 32 + 2
 
 _WORD = re.compile(r"[^\W\d_]+")
 _SPACED = re.compile(r"(?<!\S)\S(?:[ .\-_*]{1,3}\S){2,}(?!\S)")
-_REPEAT = re.compile(r"([^\W\d_])\1\1")
+_REPEAT = re.compile(r"([^\W\d_])\1")
 _SIGN = re.compile("[" + re.escape("".join(LOOKALIKES)) + "]")
+#: What may stand around a word: signs that are no look-alikes, and those that are.
+PLAIN, ALIKE = ".,;:?\"')[]{}<>%&", "!(|*#$"
 
 
 def letter_id(c: str) -> int:
@@ -118,15 +120,18 @@ class CharModel:
         return CharModel(np.log(p3).astype(np.float32))
 
 
-def arcs(span: str, i: int) -> list[tuple[str, int, float]]:
-    """(letters written, next position, cost) of the lattice at position i; a blank is a break between words."""
+def arcs(span: str, i: int, doubled: bool = False) -> list[tuple[str, int, float]]:
+    """(letters written, next position, cost) of the lattice at position i; a blank is a break between words.
+
+    With `doubled`, a letter that stands twice may be one.
+    """
     c = span[i]
     if c.isalpha():
         run = i + 1
         while run < len(span) and span[run] == c:
             run += 1
         if run - i < 3:
-            return [(c, i + 1, 0.0)]
+            return [(c, i + 1, 0.0), *([(c, run, COLLAPSE)] if doubled and run - i == 2 else ())]
         return [(c, run, COLLAPSE), (c * 2, run, COLLAPSE), (c * (run - i), run, REPEAT * (run - i - 2))]
     out = [(" ", i + 1, KEEP if c in LOOKALIKES else 2.0 if c.isspace() else 1.0)]
     if c in LOOKALIKES:
@@ -136,31 +141,60 @@ def arcs(span: str, i: int) -> list[tuple[str, int, float]]:
     return out
 
 
-def decode(span: str, model: CharModel) -> str:
+def written_by(path: list | None) -> str:
+    out = []
+    while path is not None:
+        out.append(path[1])
+        path = path[0]
+    return "".join(reversed(out))
+
+
+def settle(paths: list[list | None]) -> str:
+    """What all paths have written in common; it is taken off them."""
+    chain, place, path = [], {}, paths[0]
+    while path is not None:
+        place[id(path)] = len(chain)
+        chain.append(path)
+        path = path[0]
+    oldest = 0
+    for path in paths:
+        while path is not None and id(path) not in place:
+            path = path[0]
+        if path is None:
+            return ""
+        oldest = max(oldest, place[id(path)])
+    text = written_by(chain[oldest])
+    chain[oldest][:] = None, ""
+    return text
+
+
+def decode(span: str, model: CharModel, doubled: bool = False) -> str:
     """The likeliest clean form of a span (lower case)."""
-    # The state is what was written last (two ids); each keeps its best cost and text.
-    layers: list[dict[tuple[int, int], tuple[float, str]]] = [{} for _ in range(len(span) + 1)]
-    layers[0][0, 0] = (0.0, "")
-    log_p = model.log_p
+    # The state is what was written last (two ids); each keeps its best cost and its path, back to what is settled.
+    layers: dict[int, dict[tuple[int, int], tuple[float, list | None]]] = {0: {(0, 0): (0.0, None)}}
+    log_p, settled = model.log_p, []
     for i in range(len(span)):
-        if not layers[i]:
+        here = layers.pop(i, None)
+        if here is None:
             continue
-        for written, stop, cost in arcs(span, i):
+        for written, stop, cost in arcs(span, i, doubled):
             ids = [letter_id(c) for c in written]
-            for (a, b), (before, text) in layers[i].items():
+            there = layers.setdefault(stop, {})
+            for (a, b), (before, path) in here.items():
                 total, x, y = before + cost, a, b
                 for c in ids:
                     if c or y:  # a break after a break is free
                         total -= float(log_p[x, y, c])
                         x, y = y, c
-                if (x, y) not in layers[stop] or total < layers[stop][x, y][0]:
-                    layers[stop][x, y] = (total, text + written)
-        layers[i] = {}
-    best = min((cost - float(log_p[a, b, 0]) * (b > 0), text) for (a, b), (cost, text) in layers[-1].items())
-    return best[1]
+                if (x, y) not in there or total < there[x, y][0]:
+                    there[x, y] = (total, [path, written])
+        if i % LONGEST == LONGEST - 1:
+            settled.append(settle([path for layer in layers.values() for _, path in layer.values()]))
+    best = min((cost - float(log_p[a, b, 0]) * (b > 0), written_by(path)) for (a, b), (cost, path) in layers[len(span)].items())
+    return "".join(settled) + best[1]
 
 
-#: A span longer than this is decoded in pieces, cut where it was; lattices stay small.
+#: After so many signs of a span, what all paths have in common is settled; paths stay short.
 LONGEST = 200
 
 
@@ -171,8 +205,9 @@ class Restorer:
         self.model, self.memory = model, {}
 
     def restored(self, span: str) -> list[str]:
-        pieces = [span[i : i + LONGEST] for i in range(0, len(span), LONGEST)]
-        return _WORD.findall(" ".join(decode(p, self.model) for p in pieces))
+        words = _WORD.findall(decode(span, self.model))
+        # Doubled letters are mostly a word's own, so they are also read as single ones, not instead.
+        return words + (_WORD.findall(decode(span, self.model, True)) if _REPEAT.search(span) else [])
 
     def of_token(self, token: str) -> tuple[str, ...]:
         if token.isalpha() and not _REPEAT.search(token):
@@ -180,9 +215,11 @@ class Restorer:
         words = _WORD.findall(token)
         if not words:
             return ()
-        inner = token.strip(".,;:!?\"'()[]{}<>|*#%&$")
-        obscure = _REPEAT.search(inner) or _SIGN.search(inner) or (len(words) > 2 and len(words) * 2 >= len(inner.strip("-._")))
-        return tuple({*words, *(self.restored(inner) if obscure else ())})
+        # Look-alikes at either end may stand for letters or decorate the word.
+        whole, inner = token.strip(PLAIN), token.strip(PLAIN + ALIKE)
+        apart = len(words) > 2 and len(words) * 2 >= len(inner.strip("-._"))
+        spans = [s for s in {whole, whole.lstrip(ALIKE), whole.rstrip(ALIKE), inner} if apart or _REPEAT.search(s) or _SIGN.search(s)]
+        return tuple({*words, *(w for s in spans for w in self.restored(s))})
 
     def words(self, text: str | None) -> set[str]:
         low = (text or "").lower()

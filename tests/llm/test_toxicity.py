@@ -80,3 +80,21 @@ def test_nothing_to_learn(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert [tuple(r) for r in tox.score(df, tox.learn(df, none)).collect()] == [(1, 0.0, 0)]
     assert tox.score(df.limit(0), tox.learn(df.limit(0), none)).collect() == []
+
+
+@pytest.mark.parametrize(("token", "word"), [("|diot", "idiot"), ("(1d10t", "idiot"), ("!diot!!!", "idiot"), ("tra$h", "trash"), ("tras#", "trash"), ("iiddiioott", "idiot"), ("mmoorroonn", "moron"), ("idiot###", "idiot"), ("book", "book"), ("good!", "good")])
+def test_signs_at_the_ends_and_doubled_letters(token, word):
+    assert word in tox.Restorer(MODEL).of_token(token)
+
+
+def test_long_spans_are_decoded_whole():
+    """No word is lost where the span was once cut; settling changes nothing."""
+    span = " ".join("idiot" * 120)
+    assert "".join(tox.Restorer(MODEL).restored(span)) == "idiot" * 120
+    mixed = "-".join("1d10t m0r0n tr@sh".replace(" ", "") * 30)
+    longest, tox.LONGEST = tox.LONGEST, 10**9
+    try:
+        want = tox.decode(mixed, MODEL)
+    finally:
+        tox.LONGEST = longest
+    assert tox.decode(mixed, MODEL) == want

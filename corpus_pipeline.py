@@ -22,9 +22,12 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language go: null texts and texts without a letter."""
+    """Documents without a recognisable language go: null texts and texts without a letter, also with nothing to learn from."""
     docs = docs.select(*COLUMNS)
-    found = langid.annotate(docs, langid.learn(docs))
+    model = langid.learn(docs)
+    if not model.languages:
+        return langid.lettered(docs)
+    found = langid.annotate(docs, model)
     return found.where(F.col("lang_pred") != langid.UNKNOWN).select(*COLUMNS)
 
 

@@ -158,6 +158,19 @@ def fit(texts: list[tuple[str, str]]) -> Model:
     return model
 
 
+def lettered(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Rows whose text has a letter."""
+    batches(docs.sparkSession)
+    at = docs.columns.index(text_col)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            yield part.filter(pa.array([bool(letters()[points(t.as_py() or "")].any()) for t in part.column(at)], pa.bool_()))
+        release()
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def annotate(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """All columns of docs, with lang_pred and score."""
     spark = docs.sparkSession

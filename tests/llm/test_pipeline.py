@@ -80,3 +80,10 @@ def test_near_duplicates_take_five_words_and_four_fifths(spark):
                 root = [min(x, y) if r in (x, y) else r for r in root]
     got = set(rows(cp.drop_near_duplicates(spark, spark.createDataFrame(data, schema), SF)))
     assert got == {i for i, r in enumerate(root) if i == r} and 1 not in got and 2 in got
+
+
+def test_lettered_texts_stay_without_labelled_languages(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    data = [(1, "the house is old", None, "s", 16), (2, "12 34 !", None, "s", 7), (3, None, None, None, None), (4, "", None, "s", 0), (None, "ein haus", None, "s", 8)]
+    out = cp.identify_language(spark, spark.createDataFrame(data, schema), SF)
+    assert out.columns == cp.COLUMNS and {r.doc_id for r in out.collect()} == {1, None}

@@ -9,8 +9,8 @@ of texts is scored by one product of its presence matrix with that matrix.
 Only n-grams that some landmark holds are features (all others add nothing to a kernel with a landmark). Letters are
 the ALPHABET most frequent code points of the landmarks; others share a few ids by code point.
 
-The training sample is bounded: about SAMPLE texts for each of the LANGUAGES most frequent languages, chosen by a hash of the
-id, and LANDMARKS landmarks in all (4 for each language at least). Everything else covers all rows and whole texts.
+The training sample is bounded: about SAMPLE texts for each language, chosen by a hash of the id, and LANDMARKS landmarks
+in all (4 for each language at least). Every language that a row is labelled with is learned. Everything else covers all rows and whole texts.
 
 Defined cases: text that is null or has no letter is `und` with score 0, as is every text if there is nothing to learn
 from; rows with a null language teach nothing; repeated rows are predicted each; ties go to the language that sorts
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from fathomline.llm.common import batches, fold, release, table
 
-#: Training texts for each language, landmarks in all, and languages.
-SAMPLE, LANDMARKS, LANGUAGES = 240, 192, 64
+#: Training texts for each language, and landmarks in all.
+SAMPLE, LANDMARKS = 240, 192
 #: Parts into which a hash deals the ids when a language's share is taken.
 PARTS = 1 << 20
 #: Ids of code points: the most frequent ones, then SHARED ids for the rest. Id 0 stands between texts.
@@ -102,18 +102,18 @@ def mark(row: np.ndarray, ids: np.ndarray, places) -> None:
 
 
 def sample(docs: DataFrame) -> list[tuple[str, str]]:
-    """About SAMPLE (text, lang) for each of at most LANGUAGES languages; held-out documents are left out.
+    """About SAMPLE (text, lang) for each language; held-out documents are left out.
 
     A language's share of its documents is taken by a hash of the id, so that no task ranks a language's documents.
     """
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (fold(F.col("doc_id")) != 0))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = known.groupBy("lang").count().collect()
     if not counts:
         return []
-    most = F.lit(0)
-    for r in counts:
-        most = F.when(F.col("lang") == r["lang"], F.lit(round(PARTS * min(1.0, SAMPLE / r["count"])))).otherwise(most)
-    rows = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)) < most).select("doc_id", "text", "lang").distinct().collect()
+    shares = [(r["lang"], max(1, round(PARTS * min(1.0, SAMPLE / r["count"])))) for r in counts]
+    most = docs.sparkSession.createDataFrame(shares, "lang string, most long")  # a row for each language of the model
+    chosen = known.join(F.broadcast(most), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)) < F.col("most"))
+    rows = chosen.select("doc_id", "text", "lang").distinct().collect()
     rows.sort(key=lambda r: (r["lang"], r["doc_id"] is None, r["doc_id"] or 0, r["text"]))
     return [(r["text"], r["lang"]) for r in rows]
 

@@ -49,3 +49,11 @@ def test_nothing_to_learn(spark):
     df = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     assert [(r.lang_pred, r.score) for r in langid.annotate(df, langid.learn(df)).collect()] == [("und", 0.0)]
     assert langid.annotate(df.limit(0), langid.learn(df.limit(0))).collect() == []
+
+
+def test_rare_languages_are_learned(spark):
+    """More languages than were once kept, the last ones with the fewest documents."""
+    word = lambda k: "".join(chr(0x4E00 + 40 * k + j) for j in range(6))
+    rows = [(i * 80 + k, f"{word(k)} {word(k)[::-1]} {i}", f"l{k:02}") for k in range(70) for i in range(3 + (k < 64))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").where("crc32(cast(string(doc_id) as binary)) % 5 <> 0")
+    assert langid.learn(df).languages == sorted({r.lang for r in df.collect()}) and df.where("lang >= 'l64'").count() > 0

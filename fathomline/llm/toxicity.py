@@ -25,12 +25,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import batches, fold, table
+from fathomline.llm.common import batches, fold, keep, table
 
-#: Labelled documents of either label that are learned from; candidate features that are weighed in the driver.
+#: Labelled documents of either label that are learned from; features that are weighed in the driver at once.
 SAMPLE, CANDIDATES = 5000, 1500
 #: Parts into which a hash deals the ids when a label's share is taken.
 PARTS = 1 << 20
@@ -289,31 +289,60 @@ def labelled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, f
     return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic"), weight  # about 2 * SAMPLE rows
 
 
-def _count_features(shared):
+def _features(shared):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(shared.value)
         for part in parts:
-            counts: tuple[Counter, Counter] = (Counter(), Counter())
-            for text, toxic in zip(part.column("text"), part.column("toxic"), strict=True):
-                counts[toxic.as_py()].update({f for w in restorer.words(text.as_py()) for f in features(w)})
+            held = [sorted({f for w in restorer.words(t.as_py()) for f in features(w)}) for t in part.column("text")]
+            yield pa.RecordBatch.from_pydict({"toxic": part.column("toxic").cast(pa.int64()), "held": pa.array(held, pa.list_(pa.string()))})
+
+    return run
+
+
+def _count_features(chosen: set[str]):
+    """Documents of either label that hold a feature: all of them, and those that hold none of the chosen ones."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            counts: tuple[Counter, ...] = (Counter(), Counter(), Counter(), Counter())
+            for held, toxic in zip(part.column("held"), part.column("toxic").to_pylist(), strict=True):
+                names = held.as_py()
+                counts[toxic].update(names)
+                if chosen.isdisjoint(names):
+                    counts[2 + toxic].update(names)
             names = sorted({*counts[0], *counts[1]})
-            yield pa.RecordBatch.from_pydict({"feature": pa.array(names, pa.string()), "clean": pa.array([counts[0][n] for n in names], pa.int64()), "toxic": pa.array([counts[1][n] for n in names], pa.int64())})
+            columns = {k: pa.array([c[n] for n in names], pa.int64()) for k, c in zip(("clean", "toxic", "open_clean", "open_toxic"), counts, strict=True)}
+            yield pa.RecordBatch.from_pydict({"feature": pa.array(names, pa.string()), **columns})
 
     return run
 
 
-def _hold_features(shared, names: list[str]):
+def _hold_features(names: list[str], chosen: set[str]):
+    """Which of the names each document holds (bits), of documents that hold none of the chosen features."""
     at = {n: i for i, n in enumerate(names)}
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(shared.value)
         for part in parts:
-            held = [sorted({at[f] for w in restorer.words(t.as_py()) for f in features(w) if f in at}) for t in part.column("text")]
-            yield pa.RecordBatch.from_pydict({"toxic": part.column("toxic").cast(pa.int64()), "held": pa.array(held, pa.list_(pa.int64()))})
+            labels, bits = [], []
+            for held, toxic in zip(part.column("held"), part.column("toxic").to_pylist(), strict=True):
+                found = held.as_py()
+                if chosen.isdisjoint(found):
+                    row = np.zeros(len(names), bool)
+                    row[[at[f] for f in found if f in at]] = True
+                    labels.append(toxic)
+                    bits.append(np.packbits(row).tobytes())
+            yield pa.RecordBatch.from_pydict({"toxic": pa.array(labels, pa.int64()), "bits": pa.array(bits, pa.binary())})
 
     return run
 
 
+def hold(kept: DataFrame, names: list[str], chosen: set[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Documents (rows) by names, and whether each is toxic."""
+    rows = kept.mapInArrow(_hold_features(names, chosen), "toxic long, bits binary").collect()
+    bits = np.frombuffer(b"".join(r["bits"] for r in rows), np.uint8).reshape(len(rows), -1)
+    return np.unpackbits(bits, axis=1, count=len(names)).astype(bool), np.array([r["toxic"] == 1 for r in rows], bool)
+
+
 def ratio(a, b, toxic: float, clean: float):
     """G squared of a feature held by a toxic and b clean documents, 0 where it speaks for clean ones."""
     a, b = np.asarray(a, float), np.asarray(b, float)
@@ -323,42 +352,56 @@ def ratio(a, b, toxic: float, clean: float):
     return np.where(a * clean > b * toxic, g, 0.0)
 
 
-def alone(names: list[str], held: np.ndarray, toxic: np.ndarray) -> list[int]:
-    """Strong features of the whole sample whose documents have little else in common.
+def ratio_of(a: Column, b: Column, toxic: int, clean: int) -> Column:
+    """The same on columns."""
+    total = float(toxic + clean)
+    term = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
+    part = lambda x, y, n: (x + y) * F.lit(n / total)
+    c, d = F.lit(toxic) - a, F.lit(clean) - b
+    g = term(a, part(a, b, toxic)) + term(b, part(a, b, clean)) + term(c, part(c, d, toxic)) + term(d, part(c, d, clean))
+    return F.when(a * clean > b * toxic, 2 * g).otherwise(0.0)
+
 
-    Words that travel with copies of one document share their documents with many others; a toxic word does not.
+def alone(kept: DataFrame, lean: list[str], strong: list[str]) -> list[str]:
+    """Strong features of the whole sample whose documents have little else in common with features that lean.
+
+    Words that travel with copies of one document share their documents with many others; a toxic word does not. The
+    driver holds two pages of features at once; those that are out meet no further page.
     """
-    a, b = held[toxic].sum(axis=0), held[~toxic].sum(axis=0)
-    strong = np.flatnonzero(ratio(a, b, toxic.sum(), (~toxic).sum()) >= STRONG_RATIO)[: len(names)]
-    own = held[toxic].astype(np.float32)
-    both = own[:, strong].T @ own
-    alike = both > 0.5 * (a[strong][:, None] + a[None, :] - both)
-    stem = [n[1:5] for n in names]
-    return [int(k) for i, k in enumerate(strong) if len({stem[j] for j in np.flatnonzero(alike[i])} - {stem[k]}) <= 1]
+    own = kept.where("toxic = 1")
+    out: list[str] = []
+    for i in range(0, len(strong), CANDIDATES):
+        page = strong[i : i + CANDIDATES]
+        stems: dict[str, set[str]] = {n: set() for n in page}
+        for other in [page, *(lean[j : j + CANDIDATES] for j in range(0, len(lean), CANDIDATES))]:
+            page = [n for n in page if len(stems[n] - {n[1:5]}) <= 1]
+            if not page:
+                break
+            held, _ = hold(own, page + other, set())
+            x, y = held[:, : len(page)].astype(np.float32), held[:, len(page) :].astype(np.float32)
+            both = x.T @ y
+            alike = both > 0.5 * (x.sum(axis=0)[:, None] + y.sum(axis=0)[None, :] - both)
+            for n, row in zip(page, alike, strict=True):
+                stems[n].update(other[j][1:5] for j in np.flatnonzero(row))
+        out += [n for n in page if len(stems[n] - {n[1:5]}) <= 1]
+    return out
 
 
-def choose(names: list[str], held: np.ndarray, toxic: np.ndarray, weight: dict[int, float]) -> tuple[dict[str, float], float]:
+def choose(names: list[str], held: np.ndarray, toxic: np.ndarray) -> list[str]:
     """Greedy choice of features among documents (rows of `held`) that none covers yet."""
-    share: dict[str, float] = {}
+    chosen: list[str] = []
     open_ = np.ones(len(toxic), bool)
-    w = np.where(toxic, weight.get(1, 1.0), weight.get(0, 1.0))
-    bad, good = (held * (toxic * w)[:, None]).sum(axis=0), (held * (~toxic * w)[:, None]).sum(axis=0)
-    whole = (bad + 0.1) / (bad + good + 0.3)
-    while names and toxic[open_].any():
+    while toxic[open_].any():
         a, b = held[open_ & toxic].sum(axis=0), held[open_ & ~toxic].sum(axis=0)
         g = ratio(a, b, (open_ & toxic).sum(), (open_ & ~toxic).sum())
-        g[(whole < LEAST_SHARE) | (a < LEAST_HELD)] = 0.0
+        g[a < LEAST_HELD] = 0.0
         # Among equals the shorter: a beginning that stands for many words.
         k = min(range(len(names)), key=lambda i: (-g[i], len(names[i]), names[i]))
         if g[k] < LEAST_RATIO:
             break
-        share[names[k]] = float(whole[k])
+        chosen.append(names[k])
         open_ &= ~held[:, k]
-    for k in alone(names, held, toxic):
-        if whole[k] >= STRONG_SHARE:
-            share.setdefault(names[k], float(whole[k]))
-    left = w[open_ & toxic].sum()
-    return share, float((left + 0.1) / (w[open_].sum() + 10.0))
+    return chosen
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Toxic:
@@ -369,20 +412,38 @@ def learn(docs: DataFrame, labels: DataFrame) -> Toxic:
     if not weight.get(1) or not weight.get(0):
         return Toxic(model, {}, 0.0)
     shared = spark.sparkContext.broadcast(model)  # LETTERS ** 3 numbers
-    sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
-    counted = sample.mapInArrow(_count_features(shared), "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    # Only features that lean to toxic documents and could pass; the exact ratio is taken in the driver.
-    lean = counted.where((F.col("toxic") >= 3) & (F.col("toxic") * max(clean, 1) > 2 * F.col("clean") * max(toxic, 1)))
-    gain = F.col("toxic") * F.log(F.col("toxic") * F.lit(float(toxic + clean)) / ((F.col("toxic") + F.col("clean")) * F.lit(float(max(toxic, 1)))))
-    names = [r["feature"] for r in lean.orderBy(gain.desc(), "feature").limit(CANDIDATES).collect()]
-    rows = sample.select("text", "toxic").mapInArrow(_hold_features(shared, names), "toxic long, held array<long>").collect()
-    held, label = np.zeros((len(rows), max(1, len(names))), bool), np.zeros(len(rows), bool)
-    for i, r in enumerate(rows):
-        held[i, r["held"]] = True
-        label[i] = r["toxic"] == 1
-    share, base = choose(names, held, label, weight)
-    return Toxic(model, share, base)
+    kept = keep(sample.select("text", "toxic").mapInArrow(_features(shared), "toxic long, held array<string>"))
+    bad, good = F.col("toxic") * weight[1], F.col("clean") * weight[0]
+    share: dict[str, float] = {}
+    toxic = clean = 0
+    # All features are counted anew among the documents that are still open, until none of them passes.
+    while True:
+        open_ = kept.mapInArrow(_hold_features([], set(share)), "toxic long, bits binary")
+        sizes = {r["toxic"]: r["count"] for r in open_.groupBy("toxic").count().collect()}
+        left, others = sizes.get(1, 0), sizes.get(0, 0)
+        if not share:
+            toxic, clean = left, others
+        if not left:
+            break
+        names = ("clean", "toxic", "open_clean", "open_toxic")
+        counted = kept.mapInArrow(_count_features(set(share)), "feature string, " + ", ".join(f"{n} long" for n in names)).groupBy("feature").agg(*(F.sum(n).alias(n) for n in names))
+        able = counted.where(F.col("open_toxic") >= LEAST_HELD).withColumn("whole", (bad + 0.1) / (bad + good + 0.3)).where(F.col("whole") >= LEAST_SHARE)
+        able = able.withColumn("g", ratio_of(F.col("open_toxic"), F.col("open_clean"), left, others)).where(F.col("g") >= LEAST_RATIO)
+        whole = {r["feature"]: r["whole"] for r in able.orderBy(F.desc("g"), F.length("feature"), "feature").limit(CANDIDATES).collect()}
+        chosen = choose(list(whole), *hold(kept, list(whole), set(share))) if whole else []
+        if not chosen:
+            break
+        share |= {n: whole[n] for n in chosen}
+    counted = kept.mapInArrow(_count_features(set()), "feature string, clean long, toxic long, open_clean long, open_toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    lean = counted.where((F.col("toxic") >= LEAST_HELD) & (F.col("toxic") * max(clean, 1) > 2 * F.col("clean") * max(toxic, 1)))
+    lean = lean.withColumn("whole", (bad + 0.1) / (bad + good + 0.3)).withColumn("g", ratio_of(F.col("toxic"), F.col("clean"), toxic, clean))
+    rows = lean.select("feature", "whole", "g").orderBy(F.desc("toxic"), "feature").collect()
+    strong = {r["feature"]: r["whole"] for r in rows if r["g"] >= STRONG_RATIO and r["whole"] >= STRONG_SHARE}
+    for n in alone(kept, [r["feature"] for r in rows], list(strong)):
+        share.setdefault(n, strong[n])
+    kept.unpersist()
+    rest = left * weight[1]
+    return Toxic(model, share, (rest + 0.1) / (rest + others * weight[0] + 10.0))
 
 
 def score(docs: DataFrame, toxic: Toxic, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

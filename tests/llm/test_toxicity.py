@@ -98,3 +98,14 @@ def test_long_spans_are_decoded_whole():
     finally:
         tox.LONGEST = longest
     assert tox.decode(mixed, MODEL) == want
+
+
+def test_words_that_travel_with_copies_displace_none(spark, monkeypatch):
+    """A copied document has more features than are weighed at once, each in more documents than the toxic word."""
+    monkeypatch.setattr(tox, "CANDIDATES", 20)
+    long = " ".join(chr(97 + k % 26) * 1 + chr(97 + k // 26) + "q" + chr(97 + (k * 7) % 26) for k in range(60))
+    rows = [(i, long if i % 3 == 1 else f"house {'bastard' if i % 12 == 2 else 'river'} green w{i}", "", "") for i in range(600)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 1 or i % 12 == 2)) for i in range(600)], "doc_id long, toxic int")
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = tox.score(df, tox.learn(df, labels)).collect()
+    assert all(r.predicted == int(r.doc_id % 3 == 1 or r.doc_id % 12 == 2) for r in got)

@@ -109,3 +109,8 @@ def test_words_that_travel_with_copies_displace_none(spark, monkeypatch):
     df = spark.createDataFrame(rows, SCHEMA)
     got = tox.score(df, tox.learn(df, labels)).collect()
     assert all(r.predicted == int(r.doc_id % 3 == 1 or r.doc_id % 12 == 2) for r in got)
+
+
+def test_a_word_across_the_old_cut_of_a_long_span_is_whole():
+    words = tox.Restorer(MODEL).restored(" ".join("the" + "idiot" * 60))
+    assert set(words) <= {"the", "idiot", "theidiot"} and words.count("idiot") >= 59

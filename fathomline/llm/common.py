@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,11 +35,14 @@ def batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; a local one is made only where none is configured."""
+    """Use the cluster's shared checkpoint folder. Only a session on one machine gets a folder of its own where none is set."""
     context = spark.sparkContext
-    if not context.getCheckpointDir():
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="fathomline-checkpoints-"))
+    if context.getCheckpointDir():
+        return
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not context.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="fathomline-checkpoints-"))
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -52,13 +56,6 @@ def keep(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> D
     return df.persist(level)
 
 
-def flat(df: DataFrame) -> DataFrame:
-    """Like `keep`, with a plan that does not hold the plans it was made from: loops would double those every round."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    spark = df.sparkSession
-    return DataFrame(spark._jsparkSession.createDataFrame(kept._jdf.javaRDD(), kept._jdf.schema()), spark)
-
-
 def hash128(value: Column) -> list[Column]:
     """Two independent 64-bit hashes: together they tell texts apart at any corpus size met in practice."""
     return [F.xxhash64(value), F.xxhash64(F.lit(7), value)]
@@ -66,12 +63,30 @@ def hash128(value: Column) -> list[Column]:
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that the driver and all executors share."""
-    import uuid
-
     ensure_checkpoints(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
+class Scratch:
+    """A folder of one piece of work, in the shared folder. Tables stored here are computed once, outlive any executor,
+    and are read back with the plan of one scan, however they were made. All go when the work ends."""
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.path, self.stored = spark, shared_path(spark, name), 0
+
+    def store(self, df: DataFrame) -> DataFrame:
+        path = f"{self.path}/{self.stored}"
+        self.stored += 1
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *failure: object) -> None:
+        remove(self.spark, self.path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder through the file system that it lies in."""
     jvm = spark._jvm

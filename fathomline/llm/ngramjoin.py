@@ -2,17 +2,24 @@
 
 A document is the set of its distinct shingles of `words` words (64-bit hashes). Documents with equal sets form a class,
 of which the smallest id stands for all. If two sets reach the threshold, then under any total order of all tokens
-their first tokens (a prefix whose length follows from the sizes) share one. Two orders are used: by how common a
-token's hash bucket is in the corpus, rare first, ties by hash; and by coarse commonness, ties by another hash. The
-buckets are counted over all documents in a table of fixed size; any order is right, this one keeps passages that many
-documents share out of the prefixes. Candidates must share a prefix token, at positions that still allow the
-threshold, under the first order, and one under the second, before the sets themselves are compared.
+their first tokens (a prefix whose length follows from the sizes) share one. Three orders are used: by how common a
+token's hash bucket is in the corpus, rare first, ties by hash; by coarse commonness, ties by another hash; by coarser
+commonness, ties by a third. The buckets are counted over all documents in a table of fixed size; any order is right,
+these keep passages that many documents share out of the prefixes. Candidates must share a prefix token, at positions
+that still allow the threshold, under the first order, and one under each other order, before the sets themselves are
+compared.
 
 Only components are wanted, so a group of documents that share a prefix token is not expanded into its pairs. In each
 of STARS rounds every class is compared with one leader, the document of the group with the fewest rarer tokens (an
 unedited original, if there is one); groups that have become one component are done. What is left in groups of several
 components is then compared in full, across components only, so that no link between components is lost.
 
+Tokens of buckets that hold HOT times the mean are hot: their groups may hold a large part of the corpus, so leaders are
+found by an aggregate that combines before the shuffle and joined back, never by gathering the group; all others are
+led by a window. In the full comparison a token's rows are dealt to slices of at most SLICE rows.
+
+Every step is stored in the shared folder and read back, so plans stay short and a lost executor costs one step.
+
 Defined cases: rows that share an id are one document (the row with the smallest set fingerprint), returned once for
 each row; rows with a null id are returned with a null component and link with nothing, as do texts without words
 (their component is their own id); an empty table gives none; other columns are ignored.
@@ -30,17 +37,19 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import batches, flat, keep, release, table
+from fathomline.llm.common import Scratch, batches, cut, release, table
 from fathomline.llm.components import components
 
 #: Words of a shingle, and the threshold in hundredths, where a caller names no others.
 WORDS, PERCENT = 4, 85
 #: Bits of the table of bucket counts (4 bytes each are broadcast), rounds of stars before the rest is compared in full.
 BUCKET_BITS, STARS = 18, 2
-#: Pairs that are broadcast to the scan that builds their sets; more are joined by shuffling.
-BROADCAST_PAIRS = 2_000_000
-#: Equal sets that make a class large, and large classes that are broadcast at most.
-LARGE_CLASS, LARGE_CLASSES = 500, 500_000
+#: Rows of two or three numbers that are broadcast at most; more are joined by shuffling.
+BROADCAST_PAIRS = 250_000
+#: Equal sets that make a class large, at least; large classes there can be at most, as the bound grows with the corpus.
+LARGE_CLASS, LARGE_CLASSES = 500, 50_000
+#: A bucket is hot above this many times the mean, so that no more than one in so many is; rows of a token in a slice.
+HOT, SLICE = 8, 1000
 #: Bytes of text that are hashed at once.
 PORTION = 1 << 20
 
@@ -147,20 +156,24 @@ def prefix(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
-def orders(tokens: np.ndarray, common: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """The prefix under the first order (hashes), and under the second (16 bits of hashes: it only filters)."""
+def orders(tokens: np.ndarray, common: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The prefix under the first order (hashes), and under the others (16 bits of hashes: these only filter)."""
     k = prefix(len(tokens), percent)
     if not k:
-        return tokens, tokens.astype(np.int16)
+        return tokens, [tokens.astype(np.int16)] * 2
     count = common[tokens >> np.uint64(64 - BUCKET_BITS)].astype(np.uint64)
-    with np.errstate(over="ignore"):
-        other = (tokens ^ (tokens >> np.uint64(31))) * _MIX
+    ranks = rank_of(tokens, common)
+    first = np.argpartition(ranks, k - 1)[:k]
+    first = first[np.argsort(ranks[first])]
     coarse = np.log2(count + np.uint64(1)).astype(np.uint64)
-    # Commonness above, hash below; 32 and 56 bits of hash tell tokens apart that are equally common.
-    ranks = rank_of(tokens, common), (coarse << np.uint64(56)) | (other >> np.uint64(8))
-    first, second = (np.argpartition(r, k - 1)[:k] for r in ranks)
-    first = first[np.argsort(ranks[0][first])]
-    return tokens[first], np.unique((other[second] >> np.uint64(24)).astype(np.uint16)).view(np.int16)
+    others = []
+    for shift, step in ((31, 0), (27, 1)):
+        with np.errstate(over="ignore"):
+            other = (tokens ^ (tokens >> np.uint64(shift))) * _MIX
+        # Commonness above, 56 bits of hash below tell tokens apart that are equally common.
+        rank = ((coarse >> np.uint64(step)) << np.uint64(56)) | (other >> np.uint64(8))
+        others.append(np.unique((other[np.argpartition(rank, k - 1)[:k]] >> np.uint64(24)).astype(np.uint16)).view(np.int16))
+    return tokens[first], others
 
 
 def fingerprint(tokens: np.ndarray) -> tuple[int, int]:
@@ -188,15 +201,17 @@ def possible(x: np.ndarray, y: np.ndarray, n: int, m: int, common: np.ndarray, p
 
 
 def _filter(shared, percent: int):
-    """Pairs that both orders let through, with what tells the documents' texts from others."""
+    """Pairs that all orders let through, with what tells the documents' texts from others."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            column = {n: part.column(n).to_pylist() if n in ("n_a", "n_b") else part.column(n) for n in ("n_a", "n_b", "p_a", "p_b", "q_a", "q_b")}
+            sizes = part.column("n_a").to_pylist(), part.column("n_b").to_pylist()
+            held = {c: tuple(part.column(f"{c}_{side}") for side in "ab") for c in "pqr"}
             right = []
             for k in range(part.num_rows):
-                p, q = ((column[c + "_a"][k].values.to_numpy(), column[c + "_b"][k].values.to_numpy()) for c in "pq")
-                right.append(bool(np.isin(q[0], q[1]).any()) and possible(p[0].view(np.uint64), p[1].view(np.uint64), column["n_a"][k], column["n_b"][k], shared.value, percent))
+                x, y = ({c: held[c][side][k].values.to_numpy() for c in "pqr"} for side in (0, 1))
+                every = all(np.isin(x[c], y[c]).any() for c in "qr")
+                right.append(every and possible(x["p"].view(np.uint64), y["p"].view(np.uint64), sizes[0][k], sizes[1][k], shared.value, percent))
             yield part.select(["a", "b", "f_a", "f_b"]).filter(pa.array(right, pa.bool_()))
 
     return run
@@ -232,17 +247,23 @@ def bucket_counts(docs: DataFrame, words: int = WORDS) -> np.ndarray:
 
 def _prefixes(shared, words: int, percent: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = shared.value
+        hot = HOT * float(common.astype(np.int64).sum()) / len(common)
         for part in parts:
             sets = sets_of(_texts(part), words)
-            marks, firsts = [fingerprint(s) for s in sets], [orders(s, shared.value, percent) for s in sets]
+            marks, firsts = [fingerprint(s) for s in sets], [orders(s, common, percent) for s in sets]
+            # The first order puts common buckets last: hot tokens end the prefix.
+            cold = [int((common[p[0] >> np.uint64(64 - BUCKET_BITS)] <= hot).sum()) for p in firsts]
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": part.column("doc_id"),
                     "f1": pa.array([m[0] for m in marks], pa.int64()),
                     "f2": pa.array([m[1] for m in marks], pa.int64()),
                     "n": pa.array([len(s) for s in sets], pa.int32()),
+                    "cold": pa.array(cold, pa.int32()),
                     "p1": pa.array([p[0].view(np.int64) for p in firsts], pa.list_(pa.int64())),
-                    "p2": pa.array([p[1] for p in firsts], pa.list_(pa.int16())),
+                    "p2": pa.array([p[1][0] for p in firsts], pa.list_(pa.int16())),
+                    "p3": pa.array([p[1][1] for p in firsts], pa.list_(pa.int16())),
                 }
             )
         release()
@@ -279,111 +300,124 @@ def _compare(percent: int):
 
 
 class Join:
-    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> None:
-        self.spark, self.words, self.percent = docs.sparkSession, words, percent
+    def __init__(self, docs: DataFrame, scratch: Scratch, words: int = WORDS, percent: int = PERCENT) -> None:
+        """docs: (doc_id, text)."""
+        self.spark, self.docs, self.scratch, self.words, self.percent = docs.sparkSession, docs, scratch, words, percent
         batches(self.spark)
-        self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def prepare(self) -> None:
-        """members: (doc_id, copies, n, cls); classes: (cls, f1, n, p1, p2)."""
+        """sets, a row for each of docs; heads (f1, f2, cls, row, n, size), a row for each class; classes (cls, f1, n, cold, p1, p2, p3)."""
+        store = self.scratch.store
         self.common = self.spark.sparkContext.broadcast(bucket_counts(self.docs, self.words))
-        rows = self.docs.mapInArrow(_prefixes(self.common, self.words, self.percent), "doc_id long, f1 long, f2 long, n int, p1 array<long>, p2 array<smallint>")
-        sets = keep(rows, StorageLevel.DISK_ONLY)
-        one = sets.groupBy("doc_id").agg(F.min(F.struct("f1", "f2", "n")).alias("m"), F.count("*").alias("copies"))
-        one = one.where(F.col("doc_id").isNotNull()).select("doc_id", "copies", "m.*")
-        heads = keep(one.groupBy("f1", "f2").agg(F.min("doc_id").alias("cls"), F.count("*").alias("size")))
-        self.members = keep(self._members(one, heads))
-        self.nulls = keep(sets.where(F.col("doc_id").isNull()).select("n"))
-        reps = heads.select("cls", F.col("f1").alias("g1"), F.col("f2").alias("g2"))
-        # Fingerprints are compared by order, not as join keys, so that rows stay dealt by class alone.
-        within = lambda f, g: (F.col(f) <= F.col(g)) & (F.col(f) >= F.col(g))
-        same = (F.col("doc_id") == F.col("cls")) & within("f1", "g1") & within("f2", "g2")
-        classes = sets.where("n > 0").join(reps, same).select("cls", "f1", "n", "p1", "p2").dropDuplicates(["cls"])
-        self.classes = keep(classes, StorageLevel.DISK_ONLY)
-        for made in (self.members, self.nulls, self.classes):
-            made.count()
-        sets.unpersist()
-
-    @staticmethod
-    def _members(one: DataFrame, heads: DataFrame) -> DataFrame:
-        """Documents with their class. The few large classes are broadcast, so that none is gathered in one task."""
-        columns = ["doc_id", "copies", "n", "cls"]
-        large = heads.where(F.col("size") >= LARGE_CLASS).select("f1", "f2", "cls")
-        if not 0 < large.count() <= LARGE_CLASSES:
-            return one.join(heads, ["f1", "f2"]).select(*columns)
-        placed = one.join(F.broadcast(large.withColumnRenamed("cls", "big")), ["f1", "f2"], "left")
-        rest = placed.where(F.col("big").isNull()).drop("big").join(heads.where(F.col("size") < LARGE_CLASS), ["f1", "f2"]).select(*columns)
-        return placed.where(F.col("big").isNotNull()).withColumnRenamed("big", "cls").select(*columns).unionByName(rest)
-
-    def shared_tokens(self) -> DataFrame:
-        """(token, pos, cls, n) of the prefix tokens that several classes hold."""
-        rows = self.classes.select("cls", "n", F.posexplode("p1").alias("pos", "token"))
-        group = Window.partitionBy("token")
-        return rows.withColumn("held", F.count("*").over(group)).where("held > 1").select("token", "pos", "cls", "n")
-
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) that both orders' prefixes let through and whose sets reach the threshold.
-
-        Several a may share a b; its set travels once. What is broadcast has been counted.
-        """
-        pairs = flat(pairs)
-        small = F.broadcast if pairs.count() <= BROADCAST_PAIRS else lambda df: df
-        side = lambda k: self.classes.select(F.col("cls").alias(f"c_{k}"), *(F.col(c).alias(f"{n}_{k}") for c, n in (("f1", "f"), ("n", "n"), ("p1", "p"), ("p2", "q"))))
-        left = side("a").join(small(pairs), F.col("c_a") == F.col("a")).drop("c_a")
-        right = side("b").join(small(pairs.select("b").distinct()), F.col("c_b") == F.col("b")).drop("c_b")
-        both = left.join(right, "b").select("a", "b", "f_a", "f_b", "n_a", "n_b", "p_a", "p_b", "q_a", "q_b")
-        likely = flat(both.mapInArrow(_filter(self.common, self.percent), "a long, b long, f_a long, f_b long"))
-        marks = likely.select("b", F.col("f_b").alias("f1")).distinct()
-        a = self.docs.join(small(likely), F.col("doc_id") == F.col("a")).select("a", "b", F.col("f_a").alias("f1"), "text").mapInArrow(_sets(["a", "b"], self.words), "a long, b long, s binary")
-        b = self.docs.join(small(marks), F.col("doc_id") == F.col("b")).select("b", "f1", "text").mapInArrow(_sets(["b"], self.words), "b long, s binary")
-        both = a.join(b.withColumnRenamed("s", "t"), "b").select("a", "b", "s", "t")
-        return flat(both.mapInArrow(_compare(self.percent), "a long, b long").distinct())
+        rows = self.docs.mapInArrow(_prefixes(self.common, self.words, self.percent), "doc_id long, f1 long, f2 long, n int, cold int, p1 array<long>, p2 array<smallint>, p3 array<smallint>")
+        self.sets = store(rows.withColumn("row", F.monotonically_increasing_id()))
+        one = self.sets.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(F.struct("f1", "f2", "n", "row")).alias("m"), F.count("*").alias("copies"))
+        self.one = one.select("doc_id", "copies", "m.*")
+        heads = self.one.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "row", "n")).alias("h"), F.count("*").alias("size"))
+        self.heads = store(heads.select("f1", "f2", F.col("h.doc_id").alias("cls"), "h.row", "h.n", "size"))
+        reps = self.heads.where("n > 0").select("cls", "row")
+        self.classes = store(self.sets.join(reps, "row").select("cls", "f1", "n", "cold", "p1", "p2", "p3"))
+        tokens = self.classes.select("cls", "n", "cold", F.posexplode("p1").alias("pos", "token"))
+        cold = tokens.where("pos < cold").withColumn("held", F.count("*").over(Window.partitionBy("token"))).where("held > 1")
+        # Two tables: rows whose token is rare enough to be gathered, dealt by token; and the rest, as they come.
+        self.cold = cold.select("token", "pos", "cls", "n").persist(StorageLevel.DISK_ONLY)
+        self.hot = tokens.where("pos >= cold").select("token", "pos", "cls", "n")
+
+    def bounded(self, df: DataFrame) -> DataFrame:
+        """Broadcast if its counted rows are few."""
+        return F.broadcast(df) if df.count() <= BROADCAST_PAIRS else df
+
+    def labelled(self, label: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        """cold and hot with each class's label."""
+        if label is None:
+            return self.cold.withColumn("comp", F.col("cls")), self.hot.withColumn("comp", F.col("cls"))
+        known = self.bounded(label)
+        return tuple(rows.join(known, F.col("cls") == F.col("node"), "left").select("token", "pos", "cls", "n", F.coalesce("comp", "cls").alias("comp")) for rows in (self.cold, self.hot))
 
     def allowed(self, n: str, pos: str, m: str, at: str) -> Column:
         """Whether a first shared token at these positions leaves room for the threshold."""
         least = need(F.col(n), F.col(m), self.percent)
         return (F.col(pos) <= F.col(n) - least) & (F.col(at) <= F.col(m) - least)
 
+    def starred(self, label: DataFrame | None) -> DataFrame:
+        """(a, b): every class with the leader that it shares most tokens with, of another label."""
+        cold, hot = self.labelled(label)
+        lead = F.min(F.struct("pos", "n", "cls", "comp"))
+        led = [cold.withColumn("lead", lead.over(Window.partitionBy("token")))]
+        leads = hot.groupBy("token").agg(lead.alias("lead"), F.count("*").alias("held")).where("held > 1").drop("held")
+        led.append(hot.join(self.bounded(self.scratch.store(leads)), "token"))
+        columns = ["pos", "n", F.col("cls").alias("a"), F.col("lead.cls").alias("b"), F.col("lead.n").alias("m"), F.col("lead.pos").alias("at")]
+        led = reduce(DataFrame.union, [rows.where("comp <> lead.comp").select(*columns) for rows in led])
+        # A class has at most a prefix of rows: dealt by class they are counted and ranked in one place.
+        shared = led.where(self.allowed("n", "pos", "m", "at")).repartition("a").groupBy("a", "b").agg(F.count("*").alias("shared"))
+        return shared.groupBy("a").agg(F.min(F.struct((-F.col("shared")).alias("less"), "b")).alias("best")).select("a", "best.b")
+
+    def across(self, label: DataFrame | None) -> DataFrame:
+        """(a, b): all pairs of classes of different labels that share a prefix token."""
+        spans = lambda rows: rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("held")).where("low < high")
+        both = [(rows, spans(rows)) for rows in self.labelled(label)]
+        parts = F.ceil(F.col("held") / SLICE).cast("int").alias("parts")
+        wide = self.bounded(self.scratch.store(reduce(DataFrame.union, [s for _, s in both]).select("token", parts)))
+        open_ = reduce(DataFrame.union, [rows.join(wide, "token") for rows, _ in both])
+        left = open_.withColumn("slice", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")).drop("parts")
+        right = open_.select("token", F.col("pos").alias("at"), F.col("cls").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp_b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("slice"))
+        found = left.join(right, ["token", "slice"]).where((F.col("cls") > F.col("b")) & (F.col("comp") != F.col("comp_b")) & self.allowed("n", "pos", "m", "at"))
+        return found.select(F.col("cls").alias("a"), "b").distinct()
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) that all orders' prefixes let through and whose sets reach the threshold.
+
+        Several a may share a b; its set travels once.
+        """
+        store = self.scratch.store
+        pairs = store(pairs)
+        side = lambda k: self.classes.select(F.col("cls").alias(k), *(F.col(c).alias(f"{n}_{k}") for c, n in (("f1", "f"), ("n", "n"), ("p1", "p"), ("p2", "q"), ("p3", "r"))))
+        asked, marked = self.bounded(pairs), self.bounded(store(pairs.select("b").distinct()))
+        both = side("a").join(asked, "a").join(side("b").join(marked, "b"), "b")
+        columns = ["a", "b", *(f"{c}_{k}" for c in "fnpqr" for k in "ab")]
+        likely = store(both.select(*columns).mapInArrow(_filter(self.common, self.percent), "a long, b long, f_a long, f_b long"))
+        asked, marked = self.bounded(likely), self.bounded(store(likely.select("b", F.col("f_b").alias("f1")).distinct()))
+        a = self.docs.join(asked, F.col("doc_id") == F.col("a")).select("a", "b", F.col("f_a").alias("f1"), "text").mapInArrow(_sets(["a", "b"], self.words), "a long, b long, s binary")
+        b = self.docs.join(marked, F.col("doc_id") == F.col("b")).select("b", "f1", "text").mapInArrow(_sets(["b"], self.words), "b long, s binary")
+        both = a.join(b.withColumnRenamed("s", "t"), "b").select("a", "b", "s", "t")
+        return store(both.mapInArrow(_compare(self.percent), "a long, b long"))
+
     def links(self) -> DataFrame:
         """Enough links (a, b) between classes to connect every component."""
-        tokens = keep(self.shared_tokens(), StorageLevel.DISK_ONLY)
         found: list[DataFrame] = []
         label = None
-        for turn in range(STARS + 1):
-            group = Window.partitionBy("token")
-            open_ = tokens.withColumn("comp", F.col("cls"))
-            if label is not None:
-                known = F.broadcast(label) if label.count() <= BROADCAST_PAIRS else label
-                rows = tokens.join(known, F.col("cls") == F.col("node"), "left").select(*tokens.columns, F.coalesce("comp", "cls").alias("comp"))
-                open_ = rows.withColumns({"low": F.min("comp").over(group), "high": F.max("comp").over(group)}).where("low < high").drop("low", "high")
-            if turn < STARS:
-                led = open_.withColumn("lead", F.min(F.struct("pos", "n", "cls", "comp")).over(group))
-                led = led.where("comp <> lead.comp").select("token", "pos", "cls", "n", F.col("lead.cls").alias("b"), F.col("lead.n").alias("m"), F.col("lead.pos").alias("at"))
-                led = led.where(self.allowed("n", "pos", "m", "at")).groupBy(F.col("cls").alias("a"), "b").agg(F.count("*").alias("shared"))
-                best = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("shared"), "b"))
-                pairs = led.withColumn("place", best).where("place = 1").select("a", "b")
-            else:
-                other = open_.select("token", F.col("pos").alias("at"), F.col("cls").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp_b"))
-                across = open_.join(other, "token").where((F.col("cls") > F.col("b")) & (F.col("comp") != F.col("comp_b")) & self.allowed("n", "pos", "m", "at"))
-                pairs = across.select(F.col("cls").alias("a"), "b").distinct()
-            found.append(self.verified(pairs))
-            if turn < STARS:
-                label = components(reduce(DataFrame.union, found))
+        for turn in range(STARS):
+            found.append(self.verified(self.starred(label)))
+            label = components(reduce(DataFrame.union, found), self.scratch, rounds=turn + 1)
+        found.append(self.verified(self.across(label)))
         return reduce(DataFrame.union, found)
 
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id."""
         self.prepare()
-        label = components(self.links())
-        joined = self.members.join(label, F.col("cls") == F.col("node"), "left")
+        try:
+            label = components(self.links(), self.scratch)
+        finally:
+            self.cold.unpersist()
+        heads = self.heads.join(self.bounded(label), F.col("cls") == F.col("node"), "left").select("f1", "f2", "size", F.coalesce("comp", "cls").alias("comp"))
+        heads = self.scratch.store(heads)
+        # The few large classes are broadcast, so that none is gathered in one task.
+        documents = heads.agg(F.sum("size")).first()[0] or 0
+        large = F.col("size") >= max(LARGE_CLASS, -(-documents // LARGE_CLASSES))
+        placed = self.one.join(F.broadcast(heads.where(large).select("f1", "f2", F.col("comp").alias("big"))), ["f1", "f2"], "left")
+        rest = placed.where(F.col("big").isNull()).join(heads.where(~large).select("f1", "f2", "comp"), ["f1", "f2"])
+        members = placed.where(F.col("big").isNotNull()).withColumn("comp", F.col("big")).unionByName(rest)
         # Equal sets are linked, unless they are empty.
-        comp = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("comp", "cls"))
-        rows = joined.select("doc_id", F.col("n").cast("long").alias("n_shingles"), comp.alias("component_id"), F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy")).drop("copy")
-        return rows.union(self.nulls.select(F.lit(None).cast("long"), F.col("n").cast("long"), F.lit(None).cast("long")))
+        comp = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("comp"))
+        rows = members.select("doc_id", F.col("n").cast("long").alias("n_shingles"), comp.alias("component_id"), F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy")).drop("copy")
+        return rows.union(self.sets.where(F.col("doc_id").isNull()).select(F.lit(None).cast("long"), F.col("n").cast("long"), F.lit(None).cast("long")))
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    return Join(docs, id_col, text_col, words, percent).result()
+    """doc_id, n_shingles, component_id, computed at once and kept by a checkpoint."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    with Scratch(docs.sparkSession, "ngram-join") as scratch:
+        return cut(Join(rows, scratch, words, percent).result())
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,3 +57,29 @@ def test_rare_languages_are_learned(spark):
     rows = [(i * 80 + k, f"{word(k)} {word(k)[::-1]} {i}", f"l{k:02}") for k in range(70) for i in range(3 + (k < 64))]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").where("crc32(cast(string(doc_id) as binary)) % 5 <> 0")
     assert langid.learn(df).languages == sorted({r.lang for r in df.collect()}) and df.where("lang >= 'l64'").count() > 0
+
+
+def test_every_letter_of_three_scripts_counts():
+    """More code points than have direct tables: the presence matrix still has every n-gram of the landmarks."""
+    rnd = np.random.default_rng(1)
+    word = lambda first, n: "".join(chr(first + int(k)) for k in rnd.integers(0, 400, n))
+    texts = [(word(first, 60), lang) for lang, first in (("zh", 0x4E00), ("ko", 0xAC00), ("en", 0x61 - 0x41)) for _ in range(12)]
+    model = langid.fit(texts)
+    known = sorted(set().union(*(langid.spectrum(t).tolist() for t, _ in texts)))
+    assert len({c for t, _ in texts for c in t}) > 3 * langid.ALPHABET and model.weights.shape[0] == len(known) + 1
+    for text in [t for t, _ in texts[::5]] + [texts[0][0][:30] + "zz" + texts[20][0][:30], "\U0010ffff", ""]:
+        x, _ = model.presence([text])
+        assert set(np.flatnonzero(x[0])) == {1 + known.index(c) for c in langid.spectrum(text).tolist() if c in set(known)}
+    assert [model.score([t])[0][0] for t, _ in texts] == [lang for _, lang in texts]
+
+
+def test_ties_go_to_the_language_that_sorts_first():
+    model = langid.fit([("abc abc", "y"), ("abc abc", "x"), ("abc abc", "z")])
+    assert model.score(["abc", "qqq", "ABC " * 50_000])[0] == ["x"] * 3
+
+
+def test_stretches_lose_no_gram(monkeypatch):
+    text = "".join(chr(97 + int(k)) for k in np.random.default_rng(2).integers(0, 26, 500))
+    whole = langid.spectrum(text)
+    monkeypatch.setattr(langid, "STRETCH", 7)
+    assert np.array_equal(langid.spectrum(text), whole) and len(langid.spectrum("ab")) == 3 and len(langid.spectrum("")) == 0

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,8 +14,8 @@ from pyspark.sql import functions as F
 #: Folds used by the learned operators: rows of fold 0 are held out.
 FOLDS = 5
 
-#: Rows in one Arrow batch that is handed to a Python worker; whole texts travel, so batches are kept short.
-BATCH_ROWS = 200
+#: Rows and bytes of one Arrow batch that is handed to a Python worker: whole texts travel, so batches are kept short.
+BATCH_ROWS, BATCH_BYTES = 200, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,9 +31,22 @@ def held_out(doc_id: Column) -> Column:
     return fold(doc_id) == 0
 
 
-def batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+def batches(spark: SparkSession) -> None:
     """Bound the Arrow batches of this session, so that a worker holds a few whole texts at a time."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows for what is computed meanwhile: the setting is read when a plan runs."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:
@@ -56,6 +71,22 @@ def keep(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> D
     return df.persist(level)
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, most: int) -> DataFrame:
+    """rows joined with groups, a row for each key, whose column `size` says how many rows have it.
+
+    Groups of more than 1/most of all rows are broadcast: there cannot be more than `most` of them, and no task gathers
+    one. The others are joined by shuffling, unless all groups are as few.
+    """
+    row = groups.agg(F.sum(size).alias("rows"), F.count("*").alias("groups")).first()
+    if row["groups"] <= most:
+        return rows.join(F.broadcast(groups), keys)
+    large = F.col(size) > row["rows"] / most
+    marked = rows.join(F.broadcast(groups.where(large).withColumn("_large", F.lit(1))), keys, "left")
+    rest = marked.where("_large is null").select(*rows.columns).join(groups.where(~large), keys)
+    found = marked.where("_large is not null").drop("_large")
+    return found.unionByName(rest)
+
+
 def hash128(value: Column) -> list[Column]:
     """Two independent 64-bit hashes: together they tell texts apart at any corpus size met in practice."""
     return [F.xxhash64(value), F.xxhash64(F.lit(7), value)]
@@ -80,6 +111,11 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def append(self, df: DataFrame, name: str) -> DataFrame:
+        """Add rows to a named table; all its rows so far."""
+        df.write.mode("append").parquet(f"{self.path}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
+
     def __enter__(self) -> Scratch:
         return self
 

@@ -37,7 +37,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import Scratch, batches, cut, release, table
+from fathomline.llm.common import Scratch, batches, cut, join_groups, release, table
 from fathomline.llm.components import components
 
 #: Words of a shingle, and the threshold in hundredths, where a caller names no others.
@@ -46,8 +46,8 @@ WORDS, PERCENT = 4, 85
 BUCKET_BITS, STARS = 18, 2
 #: Rows of two or three numbers that are broadcast at most; more are joined by shuffling.
 BROADCAST_PAIRS = 250_000
-#: Equal sets that make a class large, at least; large classes there can be at most, as the bound grows with the corpus.
-LARGE_CLASS, LARGE_CLASSES = 500, 50_000
+#: Classes of equal sets that are broadcast at most, the largest first.
+LARGE_CLASSES = 50_000
 #: A bucket is hot above this many times the mean, so that no more than one in so many is; rows of a token in a slice.
 HOT, SLICE = 8, 1000
 #: Bytes of text that are hashed at once.
@@ -401,12 +401,7 @@ class Join:
             self.cold.unpersist()
         heads = self.heads.join(self.bounded(label), F.col("cls") == F.col("node"), "left").select("f1", "f2", "size", F.coalesce("comp", "cls").alias("comp"))
         heads = self.scratch.store(heads)
-        # The few large classes are broadcast, so that none is gathered in one task.
-        documents = heads.agg(F.sum("size")).first()[0] or 0
-        large = F.col("size") >= max(LARGE_CLASS, -(-documents // LARGE_CLASSES))
-        placed = self.one.join(F.broadcast(heads.where(large).select("f1", "f2", F.col("comp").alias("big"))), ["f1", "f2"], "left")
-        rest = placed.where(F.col("big").isNull()).join(heads.where(~large).select("f1", "f2", "comp"), ["f1", "f2"])
-        members = placed.where(F.col("big").isNotNull()).withColumn("comp", F.col("big")).unionByName(rest)
+        members = join_groups(self.one, heads, ["f1", "f2"], "size", LARGE_CLASSES)
         # Equal sets are linked, unless they are empty.
         comp = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("comp"))
         rows = members.select("doc_id", F.col("n").cast("long").alias("n_shingles"), comp.alias("component_id"), F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy")).drop("copy")

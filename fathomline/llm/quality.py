@@ -25,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import batches, fold, keep, table
+from fathomline.llm.common import batches, fold, join_groups, keep, table
 
 #: Labelled documents that are learned from, steps and ridge of the regression, bins of each feature.
 SAMPLE, STEPS, RIDGE, BINS = 12_000, 25, 1.0, 10
-#: Sites that are broadcast at most; more are joined by shuffling.
-BROADCAST_SITES = 500_000
+#: Sites that are broadcast at most, the largest; the others are joined by shuffling.
+BROADCAST_SITES = 200_000
 #: Bounds of a Beta prior's strength, in documents.
 WEAKEST, STRONGEST = 2.0, 1000.0
 
@@ -168,8 +168,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     # The document's own share leaves the sums that judge it.
     host = (F.col("host_s") - F.col("p") + host_strength * mean) / (F.col("host_n") - 1 + host_strength)
     prior = (F.col("s") - F.col("p") + path_strength * host) / (F.col("n") - 1 + path_strength)
-    sites = F.broadcast(nested) if paths.count() <= BROADCAST_SITES else nested
-    joined = rows.join(sites, ["host", "path"]).select("doc_id", F.col("logit").alias("evidence"), F.least(F.greatest(prior, F.lit(1e-6)), F.lit(1 - 1e-6)).alias("prior"))
+    joined = join_groups(rows, nested, ["host", "path"], "n", BROADCAST_SITES).select("doc_id", F.col("logit").alias("evidence"), F.least(F.greatest(prior, F.lit(1e-6)), F.lit(1 - 1e-6)).alias("prior"))
     made = joined.withColumn("score", 1 / (1 + F.exp(-(F.col("evidence") + log_odds(F.col("prior"))))))
     return made.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 

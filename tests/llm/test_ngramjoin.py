@@ -55,7 +55,9 @@ def corpus(seed):
 def test_against_brute_force(spark, monkeypatch, seed, stars, limit):
     monkeypatch.setattr(ngramjoin, "STARS", stars)
     monkeypatch.setattr(ngramjoin, "BROADCAST_PAIRS", limit)
-    monkeypatch.setattr(ngramjoin, "LARGE_CLASS", 3 if seed == 2 else 500)
+    monkeypatch.setattr(ngramjoin, "LARGE_CLASSES", 3 if seed == 2 else 50_000)
+    monkeypatch.setattr(ngramjoin, "SLICE", 2 if seed == 2 else 1000)
+    monkeypatch.setattr(ngramjoin, "HOT", 1 if seed == 1 else 10**6)
     rows = list(enumerate(corpus(seed), 5))
     df = spark.createDataFrame([(*r, "x", 1, "y") for r in rows], SCHEMA)
     assert sorted(map(tuple, ngramjoin.join(df).collect())) == brute(rows)
@@ -70,3 +72,22 @@ def test_null_ids_and_repeated_rows(spark):
 
 def test_empty(spark):
     assert ngramjoin.join(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_very_long_texts_and_clashing_columns(spark):
+    rnd = random.Random(7)
+    long = [f"w{rnd.randrange(10**6)}" for _ in range(60_000)]
+    rows = [(1, " ".join(long)), (2, " ".join(long[:58_000])), (3, " ".join(long[:40_000])), (4, "x" * 300_000), (5, "x" * 300_000 + " y")]
+    df = spark.createDataFrame([(*r, "a", 1, "b", 2, 3) for r in rows], "doc_id long, text string, component_id string, n int, cls string, row int, token int")
+    assert sorted(map(tuple, ngramjoin.join(df).collect())) == brute(rows)
+
+
+def test_groups_that_are_broadcast_and_joined(spark):
+    from fathomline.llm.common import join_groups
+
+    keys = [0] * 50 + [1] * 30 + list(range(2, 22))
+    rows = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id long, k long")
+    groups = rows.groupBy("k").count().withColumn("v", rows.k * 10)
+    for most in (3, 1000):
+        got = join_groups(rows, groups, ["k"], "count", most)
+        assert sorted((r["id"], r["v"]) for r in got.collect()) == [(i, 10 * k) for i, k in enumerate(keys)]

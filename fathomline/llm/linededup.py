@@ -1,19 +1,21 @@
 """Line dedup over levelled sorted runs of line hashes.
 
 A run is a table of line hashes with the number of documents that hold the line, hash-bucketed and sorted, so that runs
-are merged bucket by bucket. A new batch counts its own lines, merge-anti-joins the runs for the lines that some run
-already knows to be common (nothing more need be known of those), and adds the rest as a run of level 0. When a level
-has FAN runs, they are compacted into one of the next level, summing counts. The common lines of all batches are those
-whose counts over all runs reach the threshold.
+are merged bucket by bucket. A new batch of counted lines merge-anti-joins the runs for the lines that some run already
+knows to be common (nothing more need be known of those), and adds the rest as a run of level 0. When a level has FAN
+runs, they are compacted into one of the next level, summing counts. The common lines of all batches are those whose
+counts over all runs reach the threshold. A whole table is hashed once and dealt into BATCHES batches.
 
 A line's key is the line without ASCII white space at its ends and with A-Z lower-cased; a key has at least MIN_KEY code
-points, else its lines always stay. Hashes are 128 bits. Up to BROADCAST_LINES common lines (16 bytes each) go to the
-tasks as a set, and each document is rewritten where it is read; beyond that number the documents' lines are joined
-with the common lines instead.
-
-Defined cases: a null or empty text is one empty line, and its kept text is empty; repeated rows are documents of their
-own; a line counts once for each document that holds it; a null id changes nothing; an empty table gives none. All
-columns of the input stay but n_lines and n_dropped, which are replaced, and the text.
+points, else its lines always stay. Hashes are 128 bits. Up to BROADCAST_LINES common lines, the most common ones, go to
+the tasks as two sorted arrays (16 bytes a line), and each document is rewritten where it is read; what there is beyond
+that number is joined with the documents' lines first, and as the most common lines are not among it, no line is held by
+more than one in BROADCAST_LINES of all.
+
+Defined cases: a null or empty text is one empty line, and its kept text is empty; rows that repeat an id are one
+document where documents are counted (a line counts once for it), and are rewritten each; rows with a null id are
+documents of their own; an empty table gives none. All columns of the input stay but n_lines and n_dropped, which are
+replaced, and the text.
 """
 
 from __future__ import annotations
@@ -21,16 +23,17 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import batches, hash128, release, remove, shared_path, table
+from fathomline.llm.common import batches, cut, hash128, keep, release, remove, shared_path, table
 
 #: Documents that must hold a line, shortest key in code points, runs of a level that are compacted, batches of a table.
-THRESHOLD, MIN_KEY, FAN, BATCHES = 10, 1, 2, 2
-#: Shuffle partitions for each bucket of a run: a counted line is a few bytes, so runs are dealt to fewer, larger files.
-PER_BUCKET = 4
+THRESHOLD, MIN_KEY, FAN, BATCHES = 10, 1, 2, 3
+#: Lines of a bucket, counted over all batches: a counted line is a few bytes, so runs have few, large files.
+PER_BUCKET = 250_000
 #: Common lines that are broadcast at most.
 BROADCAST_LINES = 1_000_000
 
@@ -43,21 +46,32 @@ def key(line: Column) -> Column:
     return F.translate(F.btrim(line, F.lit(SPACE)), UPPER, LOWER)
 
 
-def keys(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(h1, h2): one row for each document and distinct line key in it."""
+def keys(docs: DataFrame, text_col: str = "text", *carried: str) -> DataFrame:
+    """(*carried, h1, h2): one row for each row and distinct line key in it."""
     lines = F.split(F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, LOWER), "\n", -1)
     distinct = F.array_distinct(F.transform(lines, lambda x: F.btrim(x, F.lit(SPACE))))
-    line = docs.select(F.explode(distinct).alias("line")).where(F.length("line") >= MIN_KEY)
+    line = docs.select(*carried, F.explode(distinct).alias("line")).where(F.length("line") >= MIN_KEY)
     h1, h2 = hash128(F.col("line"))
-    return line.select(h1.alias("h1"), h2.alias("h2"))
+    return line.select(*carried, h1.alias("h1"), h2.alias("h2"))
+
+
+def counted_keys(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", parts: int = 1) -> DataFrame:
+    """(part, h1, h2, n): in how many documents of a part each line stands. Texts are dealt to parts by their hash."""
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.pmod(F.xxhash64(text_col), F.lit(parts)).cast("int").alias("part"))
+    twice = keep(rows.where(F.col("_id").isNotNull()).groupBy("_id").count().where("count > 1").select("_id"))
+    if twice.isEmpty():
+        found = keys(rows, "_text", "part")
+    else:  # lines of rows with one id count once
+        same = keys(rows.join(twice, "_id", "left_semi"), "_text", "_id", "part").groupBy("_id", "h1", "h2").agg(F.min("part").alias("part"))
+        found = keys(rows.join(twice, "_id", "left_anti"), "_text", "part").unionByName(same.drop("_id"))
+    return found.groupBy("part", "h1", "h2").agg(F.count("*").alias("n"))
 
 
 class LineRuns:
     """The levelled runs of one store, as bucketed tables in the shared folder."""
 
-    def __init__(self, spark: SparkSession, threshold: int = THRESHOLD, fan: int = FAN) -> None:
-        self.spark, self.threshold, self.fan = spark, threshold, fan
-        self.buckets = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")) // PER_BUCKET)
+    def __init__(self, spark: SparkSession, threshold: int = THRESHOLD, fan: int = FAN, buckets: int = 2) -> None:
+        self.spark, self.threshold, self.fan, self.buckets = spark, threshold, fan, buckets
         self.runs: list[tuple[int, str, str]] = []  # level, table, path
 
     def _write(self, counted: DataFrame, level: int) -> None:
@@ -80,9 +94,8 @@ class LineRuns:
             whole = whole.join(more, ["h1", "h2"], "full").select("h1", "h2", total.alias("n"))
         return whole
 
-    def add(self, docs: DataFrame, text_col: str = "text") -> None:
-        """Take in a batch: anti-join what is settled, add a run, compact full levels."""
-        counted = keys(docs, text_col).groupBy("h1", "h2").agg(F.count("*").alias("n"))
+    def add(self, counted: DataFrame) -> None:
+        """Take in a batch (h1, h2, n): anti-join what is settled, add a run, compact full levels."""
         for _, name, _ in self.runs:
             settled = self.spark.table(name).where(F.col("n") >= self.threshold).select("h1", "h2")
             counted = counted.join(settled, ["h1", "h2"], "left_anti")
@@ -95,34 +108,51 @@ class LineRuns:
             level += 1
 
     def common(self) -> DataFrame:
-        """(h1, h2) of the lines that reach the threshold, written to the shared folder."""
+        """(h1, h2, n) of the lines that reach the threshold; it reads the runs."""
         if not self.runs:
-            return self.spark.createDataFrame([], "h1 long, h2 long")
-        path = shared_path(self.spark, "common-lines")
-        self._sum(self.runs).where(F.col("n") >= self.threshold).select("h1", "h2").write.parquet(path)
-        return self.spark.read.parquet(path)
+            return self.spark.createDataFrame([], "h1 long, h2 long, n long")
+        return self._sum(self.runs).where(F.col("n") >= self.threshold)
 
     def close(self) -> None:
         for run in list(self.runs):
             self._drop(run)
 
+    def __enter__(self) -> LineRuns:
+        return self
+
+    def __exit__(self, *failure: object) -> None:
+        self.close()
 
-def _rewriter(common, seeds: tuple[int, int], names: list[str], at: int):
+
+def _rewriter(shared, seeds: tuple[int, int], names: list[str], at: int):
     import xxhash
 
-    def rewrite(text: bytes) -> tuple[bytes, int, int]:
-        lines = text.split(b"\n")
-        kept = []
-        for line, low in zip(lines, text.translate(_LOWERED).split(b"\n"), strict=True):
-            low = low.strip(b" \t\n\x0b\x0c\r")
-            second = common.value.get(xxhash.xxh64_intdigest(low, seeds[0])) if low else None
-            if second is None or xxhash.xxh64_intdigest(low, seeds[1]) not in second:
-                kept.append(line)
-        return b"\n".join(kept), len(lines), len(lines) - len(kept)
+    def among(lows: list[bytes]) -> np.ndarray:
+        """Whether each key is a common line."""
+        first, second = shared.value
+        h = np.fromiter((xxhash.xxh64_intdigest(low, seeds[0]) for low in lows), np.uint64, len(lows))
+        place = np.searchsorted(first, h)
+        out = np.zeros(len(lows), bool)
+        for k in np.flatnonzero((first[np.minimum(place, len(first) - 1)] == h) if len(first) else out):
+            i, low = place[k], lows[k]
+            h2 = np.uint64(xxhash.xxh64_intdigest(low, seeds[1])) if len(low) else None
+            while h2 is not None and i < len(first) and first[i] == h[k] and not out[k]:
+                out[k] = second[i] == h2
+                i += 1
+        return out
+
+    def rewrite(texts: list[bytes]) -> Iterator[tuple[bytes, int, int]]:
+        split = [(t.split(b"\n"), t.translate(_LOWERED).split(b"\n")) for t in texts]
+        gone, start = among([low.strip(b" \t\n\x0b\x0c\r") for _, lows in split for low in lows]), 0
+        for text, (lines, _) in zip(texts, split, strict=True):
+            here = gone[start : start + len(lines)]
+            start += len(lines)
+            dropped = int(here.sum())
+            yield (b"\n".join(line for line, out in zip(lines, here, strict=True) if not out) if dropped else text), len(lines), dropped
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            done = [rewrite(t or b"") for t in part.column(at).cast(pa.binary()).to_pylist()]
+            done = list(rewrite([t or b"" for t in part.column(at).cast(pa.binary()).to_pylist()]))
             columns = [*part.columns, *(pa.array([d[k] for d in done], pa.int64()) for k in (1, 2))]
             columns[at] = pa.array([d[0] for d in done], pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "n_lines", "n_dropped"])
@@ -132,21 +162,25 @@ def _rewriter(common, seeds: tuple[int, int], names: list[str], at: int):
 
 
 def drop_lines(docs: DataFrame, common: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs without the common lines; with n_lines and n_dropped."""
+    """docs without the common lines (h1, h2, n); with n_lines and n_dropped."""
     spark = docs.sparkSession
-    docs = docs.drop("n_lines", "n_dropped")
-    if common.count() > BROADCAST_LINES:
-        return _drop_by_join(docs, common, text_col)
     batches(spark)
-    unsigned = (1 << 64) - 1
-    held: dict[int, set[int]] = {}
-    for r in common.toLocalIterator():  # BROADCAST_LINES rows at most
-        held.setdefault(r["h1"] & unsigned, set()).add(r["h2"] & unsigned)
+    docs = docs.drop("n_lines", "n_dropped")
+    row = common.agg(F.count("*").alias("lines"), F.sum("n").alias("n")).first()
+    if row["lines"] > BROADCAST_LINES:
+        # Not more than BROADCAST_LINES lines can each have more than that part of all.
+        top = F.col("n") > row["n"] / max(1, BROADCAST_LINES)
+        before = _drop_by_join(docs, common.where(~top), text_col).withColumnsRenamed({"n_lines": "_lines", "n_dropped": "_dropped"})
+        after = drop_lines(before, common.where(top), text_col).withColumns({"n_lines": F.col("_lines"), "n_dropped": F.col("n_dropped") + F.col("_dropped")})
+        return after.drop("_lines", "_dropped")
+    held = common.select("h1", "h2").toArrow()  # BROADCAST_LINES rows at most
+    first, second = (held.column(k).to_numpy().view(np.uint64) for k in (0, 1))
+    order = np.argsort(first, kind="stable")
     # The second hash starts from the hash of its salt, the first from the function's own seed.
-    salt = spark.range(1).select(F.xxhash64(F.lit(7))).first()[0] & unsigned
+    salt = spark.range(1).select(F.xxhash64(F.lit(7))).first()[0] & ((1 << 64) - 1)
     schema = docs.withColumns({text_col: F.col(text_col).cast("string"), "n_lines": F.lit(0).cast("long"), "n_dropped": F.lit(0).cast("long")}).schema
-    at = docs.columns.index(text_col)
-    return docs.mapInArrow(_rewriter(spark.sparkContext.broadcast(held), (42, salt), docs.columns, at), schema)
+    shared = spark.sparkContext.broadcast((first[order], second[order]))
+    return docs.mapInArrow(_rewriter(shared, (42, salt), docs.columns, docs.columns.index(text_col)), schema)
 
 
 def _drop_by_join(docs: DataFrame, common: DataFrame, text_col: str) -> DataFrame:
@@ -166,13 +200,17 @@ def _drop_by_join(docs: DataFrame, common: DataFrame, text_col: str) -> DataFram
     return made.withColumn(text_col, F.array_join("_kept", "\n")).select(*docs.columns, "n_lines", "n_dropped")
 
 
-def dedupe(docs: DataFrame, text_col: str = "text", threshold: int = THRESHOLD, parts: int = BATCHES) -> DataFrame:
-    """Whole-table dedup: the documents arrive in `parts` batches, then lose every common line."""
-    runs = LineRuns(docs.sparkSession, threshold)
-    for k in range(parts):
-        runs.add(docs.where(F.pmod(F.xxhash64(text_col), F.lit(parts)) == k), text_col)
-    common = runs.common()
-    runs.close()
+def dedupe(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", threshold: int = THRESHOLD, parts: int = BATCHES) -> DataFrame:
+    """Whole-table dedup: the counted lines arrive in `parts` batches, then the documents lose every common line."""
+    spark = docs.sparkSession
+    counted = keep(counted_keys(docs, text_col, id_col, parts))
+    try:
+        with LineRuns(spark, threshold, buckets=max(2, -(-counted.count() // PER_BUCKET))) as runs:
+            for k in range(parts):
+                runs.add(counted.where(F.col("part") == k).drop("part"))
+            common = cut(runs.common())
+    finally:
+        counted.unpersist()
     return drop_lines(docs, common, text_col)
 
 

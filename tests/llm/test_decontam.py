@@ -51,3 +51,19 @@ def test_empty(spark):
     some = spark.createDataFrame([(1, "a b c d e f", "", 1, 1)], DOCS)
     assert decontam.contamination(a, b).collect() == [] and decontam.contamination(some, b).collect() == []
     assert decontam.contamination(a, some.select(some.doc_id.alias("item_id"), "text")).collect() == []
+
+
+def test_both_sides_are_sketched_and_containment_is_estimated(spark):
+    rnd = random.Random(9)
+    text = lambda n: " ".join(str(rnd.randrange(10**6)) for _ in range(n))
+    items = [(i, text(120)) for i in range(12)]
+    docs = [(i, text(2000) + " " + (u if i % 2 else " ".join(u.split()[:108])) + " " + text(3000)) for i, u in items]
+    a, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    sketched = decontam.sketches(b)
+    size = {r.doc_id: r["count"] for r in decontam.document_sketches(a, sketched).groupBy("doc_id").count().collect()}
+    assert all(0 < size[d] < 0.6 * len(shingles(t)) for d, t in docs)
+    found = {(r.doc_id, r.item_id): r.estimate for r in decontam.candidates(a, b).collect()}
+    assert set(found) == {(i, i) for i, _ in items}
+    for i, u in items:
+        true = len(shingles(u) & shingles(dict(docs)[i])) / len(shingles(u))
+        assert abs(found[i, i] - true) < 0.2 and (true < 1 or found[i, i] == 1)

@@ -2,9 +2,10 @@
 
 Templates are wording with two kinds of markup: <<beginOptional>> ... <<endOptional>> around words that may be missing,
 and <<var;name;m,n>> for m to n words of any kind (or <<var;name;a b|c>> for one of some wordings). A template is
-compiled into an automaton over words. It is run from every place where the template's first words stand (its anchor,
-mandatory words before any markup); a text holds the template if the automaton accepts from there: all mandatory words
-exactly, in order, with only the marked freedom. The longest accepted stretch counts.
+compiled into an automaton over words. Its anchor is its first run of mandatory words; the automaton is run from every
+place from which the words before an occurrence of the anchor could be the markup before it. A text holds the template
+if the automaton accepts: all mandatory words exactly, in order, with only the marked freedom. Of the stretches that
+are accepted for one occurrence of the anchor the one that begins first counts, as far as it goes.
 
 Words are runs of ASCII letters and digits and of everything outside ASCII, A-Z lower-cased. Beside the templates there
 are base phrases, whose words must stand consecutively.
@@ -38,27 +39,75 @@ TEMPLATES = {
     "cc-by-nc-notice": "licensed under <<beginOptional>>a<<endOptional>> <<var;name;cc|creative commons>> <<var;terms;by nc|attribution noncommercial|attribution non commercial>> <<beginOptional>><<var;version;4 0|3 0|2 5|2 0>><<endOptional>>",
     "cc-by-notice": "licensed under <<beginOptional>>a<<endOptional>> <<var;name;cc|creative commons>> <<var;terms;by|attribution>> <<var;version;4 0|3 0|2 5|2 0>>",
     "mit": (
+        "<<beginOptional>><<beginOptional>>the<<endOptional>> mit license<<endOptional>> <<beginOptional>>copyright <<var;holder;1,12>><<endOptional>> "
         "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files "
-        "<<beginOptional>>the software<<endOptional>> to deal in the software without restriction including without limitation the rights "
+        "the software to deal in the software without restriction including without limitation the rights "
         "to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is "
         "furnished to do so subject to the following conditions the above copyright notice and this permission notice "
-        "<<beginOptional>>including the next paragraph<<endOptional>> shall be included in all copies or substantial portions of the software"
+        "<<beginOptional>>including the next paragraph<<endOptional>> shall be included in all copies or substantial portions of the software "
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability "
+        "fitness for a particular purpose and noninfringement in no event shall the <<var;who;authors or copyright holders|authors|copyright holders>> be liable "
+        "for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with "
+        "the software or the use or other dealings in the software"
     ),
     "isc": (
+        "<<beginOptional>>isc license<<endOptional>> <<beginOptional>>copyright <<var;holder;1,12>><<endOptional>> "
         "permission to use copy modify <<var;and;and or|and>> distribute this software for any purpose with or without fee is hereby granted "
-        "provided that the above copyright notice and this permission notice appear in all copies"
+        "provided that the above copyright notice and this permission notice appear in all copies "
+        "the software is provided as is and <<var;author;the author|isc>> disclaims all warranties with regard to this software including all implied "
+        "warranties of merchantability and fitness in no event shall <<var;author;the author|isc>> be liable for any special direct indirect or "
+        "consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or "
+        "other tortious action arising out of or in connection with the use or performance of this software"
     ),
     "bsd": (
+        "<<beginOptional>>copyright <<var;holder;1,12>> all rights reserved<<endOptional>> "
         "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
         "<<beginOptional>>1<<endOptional>> redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
         "<<beginOptional>>2<<endOptional>> redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer "
         "in the documentation and or other materials provided with the distribution "
         "<<beginOptional>><<beginOptional>>3<<endOptional>> neither the name of <<var;holder;1,20>> nor the names of its contributors may be used to endorse or promote products "
-        "derived from this software without specific prior written permission<<endOptional>>"
+        "derived from this software without specific prior written permission<<endOptional>> "
+        "this software is provided by the copyright <<var;who;holders|holder>> and contributors as is and any express or implied warranties including but not limited to "
+        "the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright <<var;who;holder|holders|owner>> or "
+        "contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute "
+        "goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict "
+        "liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"
+    ),
+    "apache-2.0": (
+        "<<beginOptional>>copyright <<var;holder;1,12>><<endOptional>> licensed under the apache license version 2 0 the license "
+        "you may not use this file except in compliance with the license you may obtain a copy of the license at "
+        "<<var;scheme;http|https>> www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is "
+        "distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing "
+        "permissions and limitations under the license"
     ),
     "gpl-header": (
         "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by "
-        "the free software foundation <<beginOptional>>either<<endOptional>> version <<var;version;1,2>> <<beginOptional>>of the license<<endOptional>>"
+        "the free software foundation <<beginOptional>>either<<endOptional>> version <<var;version;1,2>> <<beginOptional>>of the license<<endOptional>> "
+        "<<beginOptional>>or at your option any later version<<endOptional>> this program is distributed in the hope that it will be useful but without any warranty "
+        "without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details "
+        "<<beginOptional>>you should have received a copy of the gnu general public license along with this program<<endOptional>>"
+    ),
+    "mpl-2.0-header": (
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file "
+        "you can obtain one at <<var;scheme;http|https>> <<beginOptional>>www<<endOptional>> mozilla org mpl 2 0"
+    ),
+    "zlib": (
+        "<<beginOptional>>copyright <<var;holder;1,12>><<endOptional>> this software is provided as is without any express or implied warranty in no event will the "
+        "<<var;who;authors|author>> be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose "
+        "including commercial applications and to alter it and redistribute it freely subject to the following restrictions <<beginOptional>>1<<endOptional>> the origin of "
+        "this software must not be misrepresented you must not claim that you wrote the original software if you use this software in a product an acknowledgment in the "
+        "product documentation would be appreciated but is not required <<beginOptional>>2<<endOptional>> altered source versions must be plainly marked as such and must not "
+        "be misrepresented as being the original software <<beginOptional>>3<<endOptional>> this notice may not be removed or altered from any source distribution"
+    ),
+    "unlicense": (
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software "
+        "either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means in jurisdictions that recognize copyright laws "
+        "the author or authors of this software dedicate any and all copyright interest in the software to the public domain we make this dedication for the benefit of "
+        "the public at large and to the detriment of our heirs and successors we intend this dedication to be an overt act of relinquishment in perpetuity of all present "
+        "and future rights to this software under copyright law the software is provided as is without warranty of any kind express or implied including but not limited "
+        "to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors be liable for any claim damages or other "
+        "liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software "
+        "<<beginOptional>>for more information please refer to <<var;scheme;http|https>> <<beginOptional>>www<<endOptional>> unlicense org<<endOptional>>"
     ),
 }
 
@@ -72,13 +121,17 @@ def words(text: str | None) -> list[bytes]:
 
 @dataclass
 class Automaton:
-    """States are numbers; `steps` maps a state and a word to states, `any` is a step by any word, `free` by none."""
+    """States are numbers; `steps` maps a state and a word to states, `any` is a step by any word, `free` by none.
+
+    `anchor` is the first run of mandatory words, `lead` the most words that can stand before it.
+    """
 
     steps: list[dict[bytes, set[int]]] = field(default_factory=list)
     any: list[set[int]] = field(default_factory=list)
     free: list[set[int]] = field(default_factory=list)
     end: int = 0
     anchor: tuple[bytes, ...] = ()
+    lead: int = 0
 
     def state(self) -> int:
         self.steps.append({})
@@ -115,14 +168,18 @@ class Automaton:
 
 def compile_template(source: str) -> Automaton:
     out = Automaton()
-    at, opened, anchor, plain = out.state(), [], [], True
+    at, opened, anchor, lead = out.state(), [], [], 0
+    closed = False  # whether the anchor has ended
     for k, piece in enumerate(_MARK.split(source)):
+        before = 0  # the most words that this piece adds before the anchor
         if k % 2 == 0:
             wording = words(piece)
-            anchor += wording if plain else []
             at = out.chain(at, wording)
+            if opened or closed:
+                before = len(wording)
+            else:
+                anchor += wording
         elif piece == "beginOptional":
-            plain = False
             opened.append(at)
         elif piece == "endOptional":
             there = out.state()
@@ -130,10 +187,10 @@ def compile_template(source: str) -> Automaton:
             out.free[opened.pop()].add(there)
             at = there
         else:
-            plain = False
             rule, there = piece.split(";", 2)[2], out.state()
             if span := re.fullmatch(r"(\d+),(\d+)", rule):
-                for n in range(int(span[2])):
+                before = int(span[2])
+                for n in range(before):
                     if n >= int(span[1]):
                         out.free[at].add(there)
                     after = out.state()
@@ -141,12 +198,16 @@ def compile_template(source: str) -> Automaton:
                     at = after
                 out.free[at].add(there)
             else:
-                for wording in rule.split("|"):
-                    out.free[out.chain(at, words(wording))].add(there)
+                wordings = [words(wording) for wording in rule.split("|")]
+                before = max(map(len, wordings))
+                for wording in wordings:
+                    out.free[out.chain(at, wording)].add(there)
             at = there
+        closed = closed or (k % 2 == 1 and bool(anchor))
+        lead += 0 if anchor else before
     if opened or not anchor:
-        raise ValueError("a template needs mandatory words first, and every optional part an end")
-    out.end, out.anchor = at, tuple(anchor)
+        raise ValueError("a template needs mandatory words, and every optional part an end")
+    out.end, out.anchor, out.lead = at, tuple(anchor), lead
     return out
 
 
@@ -175,8 +236,11 @@ def scan(text: str | None) -> tuple:
     spans = []
     for name, automaton in automata().items():
         for start in places(joined, b" ".join(automaton.anchor)):
-            if (stop := automaton.match(found, start)) is not None:
-                spans.append((name, start, stop))
+            # The words before the anchor may be markup; `stop > start`: a stretch has the anchor in it.
+            for first in range(max(0, start - automaton.lead), start + 1):
+                if (stop := automaton.match(found, first)) is not None and stop > start:
+                    spans.append((name, first, stop))
+                    break
     labels = {*base, *(s[0] for s in spans)}
     score = 1.0 if spans else 0.5 if base else 0.0
     return (len(found), len(starts), starts[0] if starts else None, starts[-1] if starts else None, ",".join(sorted(base)), ",".join(sorted(labels)), score, sorted(spans, key=lambda s: (s[1], s[0])))
@@ -201,3 +265,45 @@ def licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def as_pattern(source: str) -> str:
+    """A template as a regular expression over words that each follow a blank, with a blank at the end."""
+    out = ""
+    for k, piece in enumerate(_MARK.split(source)):
+        wording = lambda x: "".join(f" {w.decode()}" for w in words(x))
+        if k % 2 == 0:
+            out += wording(piece)
+        elif piece == "beginOptional":
+            out += "(?:"
+        elif piece == "endOptional":
+            out += ")?"
+        else:
+            rule = piece.split(";", 2)[2]
+            span = re.fullmatch(r"(\d+),(\d+)", rule)
+            out += f"(?: [^ ]+){{{span[1]},{span[2]}}}" if span else f"(?:{'|'.join(map(wording, rule.split('|')))})"
+    return out + " "
+
+
+def _sql() -> str:
+    phrases = {label: phrase.split() for phrase, label in sorted(BASE.items(), key=lambda x: x[1])}
+    places_of = ", ".join(f"list_filter(range(len(w)), lambda i: w[i + 1:i + {len(p)}] = {p}) AS b{k}" for k, p in enumerate(phrases.values()))
+    held = {label: f"len(b{k}) > 0" for k, label in enumerate(phrases)}
+    found = {name: f"regexp_matches(j, '{as_pattern(source)}')" for name, source in TEMPLATES.items()}
+    listed = lambda tests: "array_to_string(list_filter([" + ", ".join(f"CASE WHEN {t} THEN '{n}' END" for n, t in sorted(tests.items())) + "], lambda x: x IS NOT NULL), ',')"
+    every = "list_concat(" * (len(phrases) - 1) + "b0" + "".join(f", b{k})" for k in range(1, len(phrases)))
+    return f"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), b AS (SELECT doc_id, w, ' ' || array_to_string(w, ' ') || ' ' AS j, {places_of} FROM w
+), s AS (SELECT *, {every} AS places FROM b
+), l AS (SELECT doc_id, w, places, {listed(held)} AS base_labels, {listed(held | found)} AS labels FROM s
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base, CAST(list_min(places) AS BIGINT) AS first_word,
+       CAST(list_max(places) AS BIGINT) AS last_word, base_labels, labels,
+       CASE WHEN labels <> base_labels THEN 1.0::DOUBLE WHEN labels <> '' THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS score
+FROM l
+"""
+
+
+OP7_SQL = _sql()

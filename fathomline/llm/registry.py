@@ -21,5 +21,6 @@ ORACLES: dict[str, str] = {
     "op4_line_dedup": linededup.OP4_SQL,
     "op5_decontamination": decontam.OP5_SQL,
     "op6_ngram_join": ngramjoin.OP6_SQL,
+    "op7_license_scan": licenses.OP7_SQL,
     "op10_topk": topk.OP10_SQL,
 }

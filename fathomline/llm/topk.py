@@ -1,15 +1,17 @@
 """Exact top-k search by integer inner product: tiled matrix products, partial selection per tile, tree merging.
 
 Components are quantised to floor(scale * x), so scores are whole numbers and ties are exact. The stated queries are
-packed into blocks of at most BLOCK_BYTES; each block is broadcast (its size is bounded by that parameter) and
-multiplied with every tile of the scan. A task keeps, for each query, the best k of the tiles that it has seen and
-only looks at products that reach its worst; the tasks' short lists are merged in two levels. Nothing grows in memory
-with the table: with more queries there are more blocks, each another pass over the vectors.
-
-Defined cases: vectors that are null, empty or hold null or non-finite components take no part, nor do null ids; rows
-that carry the query's id are its own and no candidates; repeated candidate rows take a place each; of repeated query
-rows the smallest vector asks; a query is compared with vectors of its own length; ties go to the smaller id; columns
-other than the two named are ignored.
+packed into blocks of at most BLOCK_BYTES; one block after the other is broadcast (its size is bounded by that parameter)
+and multiplied with every tile of the scan, which every core takes part in. A task keeps, for each query, the best k of
+the tiles that it has seen and only looks at products that reach its worst; the tasks' short lists are merged in two
+levels and stored. Neither the driver nor a task holds more than one block, however many queries there are, and a block
+does so many products for each vector read that reading the vectors once for each block costs little beside them.
+
+Defined cases: vectors that are null or hold null or non-finite components take no part, nor do null ids; an empty
+vector scores 0 with other empty ones; rows that carry the query's id are its own and no candidates; repeated candidate
+rows take a place each; of repeated query rows the smallest vector asks; a query is compared with vectors of its own
+length; ties go to the smaller id; scores beyond a long are given as its largest or smallest value, in the order of the
+true ones; columns other than the two named are ignored.
 """
 
 from __future__ import annotations
@@ -21,18 +23,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import batches, table
+from fathomline.llm.common import Scratch, batch_rows, batches, cut, table
 
 #: Bytes of one broadcast block of queries, rows of a tile, and tasks' lists that meet in the merge's first level.
 BLOCK_BYTES, TILE_ROWS, MERGE_FAN = 16 << 20, 4096, 16
-#: Products and sums below this are exact in float64.
-EXACT = float(1 << 53)
+#: Products and sums below this are exact in float64; the ends of a long.
+EXACT, LEAST, MOST = float(1 << 53), -(1 << 63), (1 << 63) - 1
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     x = F.col(vec_col).cast("array<double>")
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    return vectors.where(F.col(id_col).isNotNull() & (F.size(vec_col) > 0) & ~bad).select(F.col(id_col).cast("long").alias("vec_id"), x.alias("x"))
+    return vectors.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & ~bad).select(F.col(id_col).cast("long").alias("vec_id"), x.alias("x"))
 
 
 def matrices(part: pa.RecordBatch, scale: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -92,7 +94,7 @@ def _pack(scale: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for ids, vectors in matrices(part, scale):
-                step = max(1, BLOCK_BYTES // (8 * vectors.shape[1]))
+                step = max(1, BLOCK_BYTES // (8 * max(1, vectors.shape[1])))
                 for i in range(0, len(ids), step):
                     block = ids[i : i + step].astype("<i8"), vectors[i : i + step].astype("<f8")
                     yield pa.RecordBatch.from_pydict({"n": pa.array([len(block[0])], pa.int32()), "ids": pa.array([block[0].tobytes()], pa.binary()), "rows": pa.array([block[1].tobytes()], pa.binary())})
@@ -126,7 +128,7 @@ def _scan(shared, k: int, scale: int):
                 if vectors.shape[1] in running:
                     running[vectors.shape[1]].tile(ids, vectors)
         for r in running.values():
-            yield pa.RecordBatch.from_pydict({"query_id": r.ids[r.query].astype(np.int64), "vec_id": r.found.astype(np.int64), "score": pa.array([int(s) for s in r.score], pa.int64())})
+            yield pa.RecordBatch.from_pydict({"query_id": r.ids[r.query].astype(np.int64), "vec_id": r.found.astype(np.int64), "score": pa.array([min(max(int(s), LEAST), MOST) for s in r.score], pa.int64())})
 
     return run
 
@@ -137,17 +139,21 @@ def _merge(lists: DataFrame, k: int, *keys: str) -> DataFrame:
 
 
 def search(queries: DataFrame, vectors: DataFrame, k: int = 10, scale: int = 1024, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """query_id, rank (from 1), vec_id, score: the k best of `vectors` for each row of `queries`."""
+    """query_id, rank (from 1), vec_id, score: the k best of `vectors` for each row of `queries`, kept by a checkpoint."""
     spark = vectors.sparkSession
-    batches(spark, TILE_ROWS)
+    batches(spark)
     asked = usable(queries, id_col, vec_col).groupBy("vec_id").agg(F.min("x").alias("x"))
     rows = usable(vectors, id_col, vec_col)
-    out = spark.createDataFrame([], "query_id long, vec_id long, score long")
-    for group in blocks(asked, scale):
-        out = out.unionByName(rows.mapInArrow(_scan(spark.sparkContext.broadcast(group), k, scale), "query_id long, vec_id long, score long"))
-    branch = F.spark_partition_id() % MERGE_FAN
-    merged = _merge(_merge(out.withColumn("branch", branch), k, "query_id", "branch").drop("rank"), k, "query_id")
-    return merged.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    found = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    with Scratch(spark, "topk") as scratch, batch_rows(spark, TILE_ROWS):
+        for group in blocks(asked, scale):
+            block = spark.sparkContext.broadcast(group)
+            lists = rows.mapInArrow(_scan(block, k, scale), "query_id long, vec_id long, score long")
+            lists = lists.withColumn("branch", F.spark_partition_id() % MERGE_FAN)
+            merged = _merge(_merge(lists, k, "query_id", "branch").drop("rank"), k, "query_id")
+            found = scratch.append(merged.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"), "found")
+            block.destroy()
+        return cut(found)
 
 
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,11 +165,11 @@ OP10_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
   FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), pairs AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-         CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+         CAST(coalesce(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
   FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.x) = len(q.x)
   WHERE q.vec_id % 100 = 0
 ), ranked AS (

@@ -87,3 +87,36 @@ def test_lettered_texts_stay_without_labelled_languages(spark):
     data = [(1, "the house is old", None, "s", 16), (2, "12 34 !", None, "s", 7), (3, None, None, None, None), (4, "", None, "s", 0), (None, "ein haus", None, "s", 8)]
     out = cp.identify_language(spark, spark.createDataFrame(data, schema), SF)
     assert out.columns == cp.COLUMNS and {r.doc_id for r in out.collect()} == {1, None}
+
+
+def test_repeated_ids_null_ids_and_clashing_columns(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    schema = "doc_id long, text string, lang string, source string, n_chars long, mark long, gone long, component_id long, h1 int, part int, row int, _id long, _text string, lang_pred int, score int"
+    rest = (1, 2, 3, 4, 5, 6, 7, "t", 8, 9)
+    data = [(None, f"the old house {item}", "en", "s", 1, *rest), (None, "the old house stands by the road", "en", "s", 1, *rest), (5, "b one text of this id", "en", "s", 1, *rest), (5, "a quite different text has it too", "en", "s", 1, *rest), (6, f"and {item}", "en", None, None, *rest)]
+    docs = spark.createDataFrame(data, schema)
+    clean = cp.decontaminate(spark, docs, SF)
+    assert clean.columns == cp.COLUMNS and sorted((r.doc_id or 0, r.text) for r in clean.collect()) == sorted((d[0] or 0, d[1]) for d in data[1:4])
+    one = cp.drop_near_duplicates(spark, docs, SF)
+    assert one.columns == cp.COLUMNS and {r.text for r in one.collect() if r.doc_id == 5} == {data[3][1]} and one.where("doc_id is null").count() == 2
+    for _, stage in cp.STAGES:
+        assert stage(spark, docs, SF).count() <= len(data)
+
+
+def test_run_leaves_nothing_behind(spark):
+    from fathomline.llm.common import shared_path
+
+    left = lambda: {p.name for p in Path(shared_path(spark, "x").removeprefix("file:")).parent.iterdir() if not p.name.startswith("rdd-")}
+    before = left()
+    assert cp.run(spark, SF).count() > 0 and left() == before
+
+
+def test_very_long_texts(spark):
+    words = " ".join(f"word{k % 7001} of{k % 13}" for k in range(40_000))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(1, words, "en", "s", 1), (2, words + " end", "en", "s", 1), (3, "x" * 400_000, "en", "s", 1), (4, "a\n" * 50_000 + "b", "en", "s", 1)], schema)
+    for _, stage in cp.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+    assert sorted(r.doc_id for r in docs.collect()) == [1, 3, 4]
+    got = rows(cp.encode(spark, docs, SF))
+    assert {i: tuple(r)[1:] for i, r in got.items()} == {r.doc_id: test_bpe.expected(r.text) for r in docs.collect()}

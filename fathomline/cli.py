@@ -8,12 +8,12 @@ import sys
 from collections.abc import Sequence
 from dataclasses import asdict
 from datetime import UTC, date, datetime, timedelta
-from pathlib import Path
 
-from fathomline.plans import backfill, incremental, layers, reconcile, replay, seed
-from fathomline.plans.state import FolderRemote, State, pull, push
+from fathomline.plans import census, incremental, layers, reconcile, replay, seed
+from fathomline.plans.ledger import Ledger, pull, push
 from fathomline.session import session
-from fathomline.sources.objects import Bucket, LocalSource, ObjectSource, day_prefix
+from fathomline.sources.archives import PLACE, Archive, Bucket, Folder
+from fathomline.sources.readings import keyed
 
 
 def moment(text: str) -> datetime:
@@ -21,8 +21,12 @@ def moment(text: str) -> datetime:
     return t if t.tzinfo else t.replace(tzinfo=UTC)
 
 
-def source(args: argparse.Namespace) -> ObjectSource:
-    return LocalSource(args.local) if args.local else Bucket(args.bucket)
+def archive(args: argparse.Namespace) -> Archive:
+    if args.local:
+        return Folder(args.local, args.place)
+    if not args.fetched:
+        raise SystemExit("--bucket needs --fetched, a folder that all executors share")
+    return Bucket(args.bucket, args.fetched, args.place)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -33,11 +37,13 @@ def parser() -> argparse.ArgumentParser:
     def command(name: str, about: str, *folders: str, listing: bool = False) -> argparse.ArgumentParser:
         p = commands.add_parser(name, help=about, description=about)
         for folder in folders:
-            p.add_argument(f"--{folder}", type=Path, required=True)
+            p.add_argument(f"--{folder}", required=True, help="path on any file system that Spark reaches")
         if listing:
             one = p.add_mutually_exclusive_group(required=True)
-            one.add_argument("--local", type=Path, help="folder laid out like the bucket")
-            one.add_argument("--bucket", help="host of a public bucket")
+            one.add_argument("--local", help="folder laid out like the bucket, on any file system that Spark reaches")
+            one.add_argument("--bucket", help="host of a public bucket that is reached by HTTP")
+            p.add_argument("--fetched", help="shared folder for what was fetched from a bucket")
+            p.add_argument("--place", default=PLACE, help="where the published files lie below the root")
         return p
 
     p = command("backfill", "Stage, rank and finalize days of published files.", "out", listing=True)
@@ -45,10 +51,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--end", type=date.fromisoformat, required=True, help="last day")
     p = command("rank", "Rank staged readings, as of a moment if so wished.", "out")
     p.add_argument("--before", type=moment)
-    p.add_argument("--dest", type=Path)
+    p.add_argument("--dest")
     command("seed", "Seed a state from a census.", "backfill", "state", listing=True)
     p = command("incremental", "Classify what is new.", "state", listing=True)
-    p.add_argument("--remote", type=Path)
+    p.add_argument("--remote")
     p.add_argument("--max-files", type=int, default=incremental.MAX_FILES)
     p.add_argument("--max-bytes", type=int, default=incremental.MAX_BYTES)
     p.add_argument("--now", type=moment)
@@ -75,51 +81,48 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: Sequence[str] | None = None) -> int:
     args = parser().parse_args(argv)
     now = getattr(args, "now", None) or datetime.now(UTC)
-    if args.command in ("pull", "push"):
-        state = State(args.state)
-        pull(state, FolderRemote(args.remote)) if args.command == "pull" else push(state, FolderRemote(args.remote), init=args.init)
-        return 0
     spark = session(args.master)
     show = lambda doc: print(json.dumps(doc, indent=2, default=str))
+    ledger = Ledger(spark, args.state) if "state" in args else None
     if args.command == "backfill":
-        day, held = args.start, source(args)
+        held, day, done = archive(args), args.start, census.batches(spark, args.out)
         while day <= args.end:
-            if not backfill.is_done(args.out, f"day-{day}"):
-                paths = held.paths(list(held.listing(day_prefix(day))), args.out / "csv" / f"{day}")
-                if paths:
-                    backfill.stage(spark, paths, args.out, f"{day:%Y%m%d}")
-                backfill.mark_done(args.out, f"day-{day}")
+            if str(day) not in done:
+                census.stage(spark, keyed(held.published(spark, held.listing(spark, [day]))), args.out, str(day))
             day += timedelta(days=1)
-        backfill.rank(spark, args.out)
-        print(backfill.finalize(spark, args.out))
-    elif args.command == "rank":
-        before = incremental.naive(args.before) if args.before else None
-        backfill.rank(spark, args.out, before, args.dest)
-        print(backfill.finalize(spark, args.out, before, args.dest))
+    if args.command in ("backfill", "rank"):
+        before, dest = getattr(args, "before", None), getattr(args, "dest", None)
+        before = incremental.naive(before) if before else None
+        census.rank(spark, args.out, before, dest)
+        print(census.finalize(spark, args.out, before, dest))
     elif args.command == "seed":
-        print(seed.seed(spark, args.backfill, State(args.state), source(args)))
+        print(seed.seed(spark, args.backfill, ledger, archive(args)))
     elif args.command == "incremental":
-        state = State(args.state)
-        if args.remote:
-            pull(state, FolderRemote(args.remote))
-        result = incremental.run(spark, state, source(args), now, f"run-{now:%Y%m%dT%H%M%S}", args.max_files, args.max_bytes)
-        if args.remote and result.new_files:
-            push(state, FolderRemote(args.remote))
+        remote = Ledger(spark, args.remote) if args.remote else None
+        if remote:
+            pull(ledger, remote)
+        result = incremental.run(spark, ledger, archive(args), now, f"run-{now:%Y%m%dT%H%M%S}", args.max_files, args.max_bytes)
+        if remote and result.new_files:
+            push(ledger, remote)
         show(asdict(result))
     elif args.command == "reconcile":
-        show(asdict(reconcile.reconcile(spark, State(args.state), source(args), now)))
+        show(asdict(reconcile.reconcile(spark, ledger, archive(args), now)))
     elif args.command == "underway-seed":
-        show(seed.seed_underway(spark, State(args.state), args.cache, source(args), args.chunk_files))
+        show(seed.seed_underway(spark, ledger, args.cache, archive(args), args.chunk_files))
     elif args.command == "replay":
-        report = replay.replay(spark, args.backfill, State(args.state), source(args), args.start, args.end, args.step_hours, args.grace_hours, args.resume_at, args.tolerance)
+        report = replay.replay(spark, args.backfill, ledger, archive(args), args.start, args.end, args.step_hours, args.grace_hours, args.resume_at, args.tolerance)
         show(report)
         return int(not report["pass"])
+    elif args.command == "pull":
+        pull(ledger, Ledger(spark, args.remote))
+    elif args.command == "push":
+        push(ledger, Ledger(spark, args.remote), args.init)
     elif args.command == "layers":
-        show(layers.build(spark, State(args.state), args.out, args.providers, now))
+        show(layers.build(spark, ledger, args.out, args.providers, now))
     elif args.command == "region":
-        show(layers.build_region(spark, State(args.state), args.polygon, args.out))
+        show(layers.build_region(spark, ledger, args.polygon, args.out))
     elif args.command == "extract":
-        print(layers.extract_region(spark, backfill.staged(spark, args.backfill), args.polygon, args.out, args.res))
+        print(layers.extract_region(spark, census.staged(spark, args.backfill), args.polygon, args.out, args.res))
     return 0
 
 

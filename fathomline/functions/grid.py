@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 X_BITS, Y_BITS, FIELD = 8, 7, 28
@@ -78,8 +78,8 @@ def from_string(s: Column) -> Column:
 Ring = list[list[float]]
 
 
-def polygon_cells(spark: SparkSession, polygons: list[list[Ring]], res: int) -> DataFrame:
-    """(cell): cells whose centre lies inside a polygon (even-odd over its rings).
+def polygon_stretches(spark: SparkSession, polygons: list[list[Ring]], res: int) -> DataFrame:
+    """(y, first, last): the stretches of each grid row whose cells' centres lie inside a polygon (even-odd over its rings).
 
     Every edge is exploded into the grid rows whose centre line it crosses; a row's crossings, in order, pair up into
     stretches of columns. No pair of cells and edges is ever formed.
@@ -105,5 +105,25 @@ def polygon_cells(spark: SparkSession, polygons: list[list[Ring]], res: int) ->
     stretch = lines.where(F.size("xs") >= 2).select("y", F.explode(pairs).alias("p"))
     first = F.greatest(F.ceil((F.col("p.a") + 180.0) / 360.0 * nx - 0.5), F.lit(0))
     last = F.least(F.ceil((F.col("p.b") + 180.0) / 360.0 * nx - 0.5) - 1, F.lit(nx - 1))
-    cells = stretch.select("y", first.alias("first"), last.alias("last")).where("first <= last").select("y", F.explode(F.sequence("first", "last")).alias("x"))
-    return cells.select((F.lit(res << 2 * FIELD).cast("long") + F.col("x") * F.lit(1 << FIELD) + F.col("y")).alias("cell")).distinct()
+    found = stretch.select("y", first.alias("first"), last.alias("last")).where("first <= last")
+    # Polygons may overlap: stretches of a row that touch become one, so that no cell is in two.
+    line = Window.partitionBy("y").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1)
+    begins = found.withColumn("new", F.coalesce(F.col("first") > F.max("last").over(line) + 1, F.lit(True)).cast("int"))
+    numbered = begins.withColumn("k", F.sum("new").over(Window.partitionBy("y").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy("y", "k").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("k")
+
+
+def of_row(y: Column, res: int) -> Column:
+    """The first cell of a grid row."""
+    return F.lit(res << 2 * FIELD).cast("long") + y
+
+
+def stretch_cells(stretches: DataFrame, res: int) -> DataFrame:
+    """(cell): every cell of (y, first, last)."""
+    cells = stretches.select("y", F.explode(F.sequence("first", "last")).alias("x"))
+    return cells.select((of_row(F.col("y"), res) + F.col("x") * F.lit(1 << FIELD)).alias("cell"))
+
+
+def polygon_cells(spark: SparkSession, polygons: list[list[Ring]], res: int) -> DataFrame:
+    """(cell): cells whose centre lies inside a polygon."""
+    return stretch_cells(polygon_stretches(spark, polygons, res), res)

@@ -26,14 +26,14 @@ def _label(first: Column, original_id: Column) -> Column:
 
 
 def classify(df: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
-    """Adds `class`. The original of a key is its first row by `order`, nulls last.
+    """Adds `class`. The original of a key is its first row by `order`, nulls last; a null key is a key like others.
 
     The originals are found by an aggregate that combines before the shuffle, then joined back; a key that holds much of
     the table is never gathered in one task, as a window over keys would do.
     """
     ranks = [c for name in order for c in (F.col(name).isNull().alias(f"no_{name}"), F.col(name))]
     originals = df.groupBy("key").agg(F.min(F.struct(*ranks)).alias("_original")).withColumnRenamed("key", "_key")
-    joined = df.join(originals, F.col("key") == F.col("_key"))
+    joined = df.join(originals, F.col("key").eqNullSafe(F.col("_key")))
     at_first = F.lit(True)
     for name in order:
         at_first = at_first & F.col(name).eqNullSafe(F.col(f"_original.{name}"))

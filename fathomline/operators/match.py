@@ -40,8 +40,6 @@ def fingerprint_matches(new: DataFrame, index: DataFrame) -> DataFrame:
     return found.withColumn("_n", F.row_number().over(earliest)).where("_n = 1").select("file", "unique_id", "dup_of", "dup_uid")
 
 
-
-
 def overlapping(new: DataFrame, index: DataFrame) -> DataFrame:
     """Index rows of the same provider that overlap a new group in time and in its bounding box.
 
@@ -60,7 +58,9 @@ def overlapping(new: DataFrame, index: DataFrame) -> DataFrame:
     )
     dated_a, dated_b = a.where("n_blocks IS NOT NULL"), right.where("blocks IS NOT NULL")
     exploded_a, exploded_b = dated_a.withColumn("n_block", F.explode("n_blocks")), dated_b.withColumn("block", F.explode("blocks"))
-    out = exploded_b.join(exploded_a, (F.col("block") == F.col("n_block")) & meets).select(*index.columns)
-    odd_a = right.join(a.where("n_blocks IS NULL"), meets).select(*index.columns)
-    odd_b = right.where("blocks IS NULL").join(dated_a, meets).select(*index.columns)
-    return out.unionByName(odd_a).unionByName(odd_b).distinct()
+    # Only whether a partner exists matters: semi joins make no pairs.
+    out = exploded_b.join(exploded_a, (F.col("block") == F.col("n_block")) & meets, "left_semi").select(*index.columns).distinct()
+    undated = a.where("n_blocks IS NULL")
+    odd_a = dated_b.join(undated, meets, "left_semi").select(*index.columns)
+    odd_b = right.where("blocks IS NULL").join(a, meets, "left_semi").select(*index.columns)
+    return out.unionByName(odd_a).distinct().unionByName(odd_b)

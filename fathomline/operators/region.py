@@ -1,9 +1,13 @@
-"""Coverage of polygon regions, and their readings."""
+"""Coverage of polygon regions, and their readings.
+
+A region is held as stretches of grid cells, one or a few for each row of the grid, not as cells: a few thousand rows for
+a country, whatever its area. Whether a cell lies inside is a join on its row and a comparison with the stretch's ends.
+"""
 
 from __future__ import annotations
 
 import json
-from pathlib import Path
+from collections.abc import Iterator
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,38 +15,75 @@ from pyspark.sql import functions as F
 
 from fathomline.functions import grid
 from fathomline.functions.scalars import round_at, safe_double, share_of_duplicates
+from fathomline.sources.files import Files
 
-#: Cells of a region that are broadcast at most; a finer region is joined by shuffling.
-BROADCAST_CELLS = 2_000_000
+#: Stretches of a region that are broadcast at most; more are joined by shuffling.
+BROADCAST_STRETCHES = 500_000
 #: Margin of the box that is tested before the cells, in degrees, and the thresholds of coverage.
 MARGIN, THRESHOLDS = 0.01, (1, 100)
 
-
-def polygons(source: str | Path | dict[str, Any]) -> list[list[grid.Ring]]:
-    """Polygons (lists of rings) of a GeoJSON file or document."""
-    doc = source if isinstance(source, dict) else json.loads(Path(source).read_text(encoding="utf-8"))
-    kind = doc.get("type")
-    shapes = [f["geometry"] for f in doc["features"]] if kind == "FeatureCollection" else [doc["geometry"]] if kind == "Feature" else [doc]
-    out: list[list[grid.Ring]] = []
-    for shape in shapes:
-        if shape["type"] == "Polygon":
-            out.append(shape["coordinates"])
-        elif shape["type"] == "MultiPolygon":
-            out.extend(shape["coordinates"])
-        else:
-            raise ValueError(f"unsupported geometry {shape['type']}")
-    if not out:
-        raise ValueError("no polygons")
-    return out
-
-
-def region_cells(spark: SparkSession, shapes: list[list[grid.Ring]], res: int) -> DataFrame:
-    return grid.polygon_cells(spark, shapes, res).withColumnRenamed("cell", "h3")
-
-
-def within(rows: DataFrame, region: DataFrame) -> DataFrame:
-    side = F.broadcast(region) if region.count() <= BROADCAST_CELLS else region
-    return rows.join(side, "h3", "left_semi")
+Polygon = list[grid.Ring]
+
+
+def polygons(doc: dict[str, Any]) -> Iterator[Polygon]:
+    """The polygons, as lists of rings, of any GeoJSON object."""
+    match doc:
+        case {"type": "Polygon", "coordinates": rings}:
+            yield rings
+        case {"type": "MultiPolygon", "coordinates": several}:
+            yield from several
+        case {"type": "Feature", "geometry": dict(geometry)}:
+            yield from polygons(geometry)
+        case {"type": "FeatureCollection", "features": list(parts)} | {"type": "GeometryCollection", "geometries": list(parts)}:
+            for part in parts:
+                yield from polygons(part)
+        case _:
+            raise ValueError(f"no area can be made of a GeoJSON {doc.get('type')!r}")
+
+
+def read_polygons(files: Files, path: str) -> list[Polygon]:
+    found = list(polygons(json.loads(files.read(path))))
+    if not found:
+        raise ValueError(f"{path} holds no polygon")
+    return found
+
+
+class Region:
+    """Polygons at a resolution."""
+
+    def __init__(self, spark: SparkSession, shapes: list[Polygon], res: int) -> None:
+        self.res, self.shapes = res, shapes
+        self.stretches = grid.polygon_stretches(spark, shapes, res).persist()
+        self.size = self.stretches.count()
+
+    def close(self) -> None:
+        self.stretches.unpersist()
+
+    def cells(self) -> DataFrame:
+        return grid.stretch_cells(self.stretches, self.res).withColumnRenamed("cell", "h3")
+
+    def area(self) -> DataFrame:
+        """Cells and square kilometres: all cells of a row are of one size, so none is made."""
+        n = F.col("last") - F.col("first") + 1
+        each = grid.area_km2(grid.of_row(F.col("y"), self.res))
+        return self.stretches.agg(F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("region_cells"), round_at(F.coalesce(F.sum(n * each), F.lit(0.0)), 2).alias("region_km2"))
+
+    def within(self, rows: DataFrame) -> DataFrame:
+        """Rows whose cell `h3` lies inside."""
+        held = self.stretches.select(F.col("y").alias("_y"), F.col("first").alias("_first"), F.col("last").alias("_last"))
+        held = F.broadcast(held) if self.size <= BROADCAST_STRETCHES else held
+        hit = (grid.row(F.col("h3")) == F.col("_y")) & grid.column(F.col("h3")).between(F.col("_first"), F.col("_last"))
+        return rows.join(held, hit, "left_semi")
+
+    def inside(self, readings: DataFrame) -> DataFrame:
+        """Readings inside: a box on the typed positions first, which storage can prune by, then the cells."""
+        corners = [point for rings in self.shapes for ring in rings for point in ring]
+        if not self.size:
+            raise ValueError("the polygon holds no cell")
+        margin = max(MARGIN, 360.0 / (1 << (self.res + grid.X_BITS)))  # a cell, so that the box covers whole cells
+        lon, lat = ([float(p[k]) for p in corners] for k in (0, 1))
+        box = F.col("lon_d").between(min(lon) - margin, max(lon) + margin) & F.col("lat_d").between(min(lat) - margin, max(lat) + margin)
+        return self.within(readings.where(box).withColumn("h3", grid.cell(F.col("lat_d"), F.col("lon_d"), self.res)))
 
 
 def coverage_cells(cells: DataFrame) -> DataFrame:
@@ -67,22 +108,6 @@ def coverage(cells: DataFrame, region_size: int, by_year: bool = False) -> DataF
     return made.withColumns(shares)
 
 
-def region_area(region: DataFrame) -> DataFrame:
-    return region.agg(F.count("*").alias("region_cells"), round_at(F.coalesce(F.sum(grid.area_km2(F.col("h3"))), F.lit(0.0)), 2).alias("region_km2"))
-
-
-def inside(readings: DataFrame, region: DataFrame, res: int) -> DataFrame:
-    """Readings in a region: a box on the typed positions first, which storage can prune by, then the cells."""
-    lon, lat = grid.center_lon(F.col("h3")), grid.center_lat(F.col("h3"))
-    box = region.agg(F.min(lon), F.min(lat), F.max(lon), F.max(lat)).first()
-    if box[0] is None:
-        raise ValueError("the polygon holds no cell")
-    margin = max(MARGIN, 180.0 / (1 << (res + grid.X_BITS)))  # half a cell at least, so that the box covers whole cells
-    w, s, e, n = box[0] - margin, box[1] - margin, box[2] + margin, box[3] + margin
-    rows = readings.where(F.col("lon_d").between(w, e) & F.col("lat_d").between(s, n))
-    return within(rows.withColumn("h3", grid.cell(F.col("lat_d"), F.col("lon_d"), res)), region)
-
-
 def extract(rows: DataFrame, res: int) -> DataFrame:
     """Originals with the number of their copies."""
     counts = rows.groupBy("key").agg(F.count("*").alias("n_copies"), F.min(F.struct(F.col("ingested").isNull().alias("n"), "ingested", "file", "unique_id")).alias("o")).withColumnRenamed("key", "k")

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
 from dataclasses import dataclass
 from datetime import UTC, date, datetime, timedelta
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,14 +12,16 @@ from fathomline.functions.schema import STATE, struct
 from fathomline.operators import match, rollup, tracks
 from fathomline.operators.classify import ORDER, classify, tallies
 from fathomline.operators.recent import moment
-from fathomline.plans.state import State
+from fathomline.plans.ledger import Ledger
+from fathomline.plans.work import Work
 from fathomline.session import ensure
-from fathomline.sources.objects import Listed, ObjectSource, day_of, day_prefix, listing_table
-from fathomline.sources.readings import read_csv
+from fathomline.sources.archives import Archive, day_of
+from fathomline.sources.readings import keyed
 
 #: Days for which cells are held by file, and days listed again before the newest file.
 RECENT_DAYS, LOOKBACK = 30, 3
 MAX_FILES, MAX_BYTES = 4000, 3_000_000_000
+NEWEST, LISTED = "newest_file", "listed_until"
 
 
 @dataclass(frozen=True)
@@ -44,16 +43,13 @@ def naive(t: datetime) -> datetime:
     return t.astimezone(UTC).replace(tzinfo=None) if t.tzinfo else t
 
 
-def objects_of(rows: DataFrame) -> list[Listed]:
-    """Listed objects of a bounded table, by name."""
-    got = rows.select("key", "size", "etag", F.unix_micros("last_modified").alias("t")).collect()
-    return [Listed(r["key"], r["size"] or 0, datetime.fromtimestamp((r["t"] or 0) / 1e6, UTC), r["etag"] or "") for r in sorted(got, key=lambda r: (r["key"].rpartition("/")[2], r["key"]))]
-
-
-def days_to_list(state: State, now: datetime, pending: list[str], lookback: int) -> list[date]:
-    newest = datetime.fromisoformat(state.manifest.max_ingested).date() if state.manifest.max_ingested else now.date()
-    recent = {newest + timedelta(days=i) for i in range(-lookback, (now.date() - newest).days + 1)}
-    return sorted(recent | {newest - timedelta(days=i) for i in range(lookback + 1)} | {d for d in map(day_of, pending) if d})
+def days_to_list(ledger: Ledger, now: date, lookback: int) -> list[date]:
+    """From `lookback` days before the newest file until now, and the days of keys that a reconcile found missing."""
+    known = ledger.fact(NEWEST)
+    newest = datetime.fromisoformat(known).date() if known else now
+    days = {newest + timedelta(days=k) for k in range(-lookback, max(0, (now - newest).days) + 1)}
+    waiting = ledger.read("pending").select(day_of(F.col("key")).alias("day")).where("day IS NOT NULL").distinct()
+    return sorted(days | {r["day"] for r in waiting.collect()})
 
 
 def run_row(spark: SparkSession, **values) -> DataFrame:
@@ -81,67 +77,54 @@ def classify_new(new: DataFrame, groups: DataFrame, matched: DataFrame, candidat
 
 
 def run(
-    spark: SparkSession, state: State, source: ObjectSource, now: datetime, run_id: str, max_files: int = MAX_FILES, max_bytes: int = MAX_BYTES, lookback_days: int = LOOKBACK, work: Path | None = None
+    spark: SparkSession, ledger: Ledger, archive: Archive, now: datetime, run_id: str, max_files: int = MAX_FILES, max_bytes: int = MAX_BYTES, lookback_days: int = LOOKBACK
 ) -> RunResult:
-    """One run. A failure before the commit leaves the state as it was; with nothing new nothing is committed."""
+    """One run. A failure before the commit leaves the ledger as it was; with nothing new nothing is committed."""
     ensure(spark)
-    state.verify()
+    ledger.check()
     now = naive(now)
-    own = Path(tempfile.mkdtemp(prefix="fathomline-run-", dir=state.root)) if work is None else Path(work)
-    try:
-        return _run(spark, state, source, now, run_id, max_files, max_bytes, lookback_days, own)
-    finally:
-        if work is None:
-            shutil.rmtree(own, ignore_errors=True)
-
-
-def _run(spark, state, source, now, run_id, max_files, max_bytes, lookback, work) -> RunResult:
-    t = {name: state.read(spark, name) for name in STATE}
-    index = t["file_index"]
-    pending = [r["key"] for r in t["pending"].select("key").collect()]  # keys that a reconcile found missing
-    listed = listing_table(spark, (o for d in days_to_list(state, now, pending, lookback) for o in source.listing(day_prefix(d))))
-    fresh = match.new_objects(listed, index).persist()
-    waiting = fresh.count()
-    selected = objects_of(match.within_budget(fresh, ["name", "key"], "size", max_files, max_bytes)) if waiting else []
-    if not selected:
-        return RunResult(run_id, state.manifest.generation)
-    capped = len(selected) < waiting
-    chosen = listing_table(spark, selected)
-    new = read_csv(spark, source.paths(selected, work / "new")).persist()
-    groups = rollup.group_meta(new).persist()
-    matched = match.fingerprint_matches(groups, index).persist()
-    originals = match.overlapping(groups.join(matched, ["file", "unique_id"], "left_anti"), index)
-    reread = objects_of(originals.select("key", "size", "etag", F.col("ingested").alias("last_modified")).distinct())
-    candidates = read_csv(spark, source.paths(reread, work / "old"))
-    classes = classify_new(new, groups, matched, candidates).persist()
-
-    counts = rollup.file_counts(classes)
-    found = chosen.select(F.col("name").alias("file"), "key", "size", "etag", F.col("last_modified").alias("published_at"))
-    method = F.when(F.col("dup_of").isNull(), "ranked").otherwise("fingerprint")
-    entries = groups.join(counts.drop("n_rows"), ["file", "unique_id"]).join(found, "file").join(matched.drop("dup_uid"), ["file", "unique_id"], "left")
-    entries = stamped(entries.withColumns({"status": F.lit("live"), "method": method}), run_id)
-    own_readings = counts.where("n_unique > 0").select("file", "unique_id")
-    minutes = tracks.underway(tracks.minutes(new, own_readings), with_file=True)
-    cutoff = moment(now - timedelta(days=RECENT_DAYS))
-    add = lambda name, rows: t[name].unionByName(rows, allowMissingColumns=True)
-    tables = {
-        "file_index": add("file_index", entries.select(*(c for c in struct(STATE["file_index"]).names if c in entries.columns))),
-        "file_months": add("file_months", rollup.file_month_counts(classes)),
-        "cells_delta": add("cells_delta", stamped(rollup.month_cells(classes), run_id)),
-        "vdays_delta": add("vdays_delta", stamped(rollup.vessel_days(classes), run_id)),
-        "uw_delta": add("uw_delta", stamped(minutes, run_id)),
-        "recent_cells": t["recent_cells"].where(F.col("ingested") >= cutoff).unionByName(rollup.recent_cells(classes)),
-        "pending": t["pending"].join(chosen.select("key"), "key", "left_anti"),
-    }
-    total = classes.agg(*tallies()).first()
-    newest = tables["file_index"].agg(F.date_format(F.max("ingested"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
-    reread_bytes = sum(o.size for o in reread)
-    log = run_row(
-        spark, run_id=run_id, kind="incremental", run_at=now, generation=state.manifest.generation + 1, new_files=len(selected), n_rows=total[0], n_unique=total[1], n_dup_resend=total[2], n_dup_cross_id=total[3],
-        reread_bytes=reread_bytes, capped=capped, removed=0, newest_published=naive(max(o.last_modified for o in selected)),
-    )
-    groups_matched = matched.count()
-    manifest = state.commit(tables | {"runs": t["runs"].unionByName(log)}, max_ingested=newest or state.manifest.max_ingested, last_listed_day=now.date().isoformat())
-    for df in (fresh, new, groups, matched, classes):
-        df.unpersist()
-    return RunResult(run_id, manifest.generation, len(selected), total[0], total[1], total[2], total[3], groups_matched, len(reread), reread_bytes, capped)
+    index = ledger.read("file_index")
+    # Every step is written down, so that plans stay short and a lost executor costs one step.
+    with Work(spark, ledger.root) as work:
+        fresh = work.keep(match.new_objects(archive.listing(spark, days_to_list(ledger, now.date(), lookback_days)), index))
+        waiting = fresh.count()
+        if not waiting:
+            return RunResult(run_id, ledger.number)
+        chosen = work.keep(match.within_budget(fresh, ["name", "key"], "size", max_files, max_bytes))
+        n_chosen, newest_published = chosen.agg(F.count("*"), F.max("last_modified")).first()
+        new = work.keep(keyed(archive.published(spark, chosen)))
+        groups = work.keep(rollup.group_meta(new))
+        matched = work.keep(match.fingerprint_matches(groups, index))
+        originals = match.overlapping(groups.join(matched, ["file", "unique_id"], "left_anti"), index)
+        reread = work.keep(originals.select("key", "size", "etag").distinct())
+        n_reread, reread_bytes = reread.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+        classes = work.keep(classify_new(new, groups, matched, keyed(archive.published(spark, reread))))
+
+        counts = rollup.file_counts(classes)
+        found = chosen.select(F.col("name").alias("file"), "key", "size", "etag", F.col("last_modified").alias("published_at"))
+        method = F.when(F.col("dup_of").isNull(), "ranked").otherwise("fingerprint")
+        entries = groups.join(counts.drop("n_rows"), ["file", "unique_id"]).join(found, "file").join(matched.drop("dup_uid"), ["file", "unique_id"], "left")
+        minutes = tracks.underway(tracks.minutes(new, counts.where("n_unique > 0").select("file", "unique_id")), with_file=True)
+        cutoff = moment(now - timedelta(days=RECENT_DAYS))
+        total = classes.agg(*tallies()).first()
+        newest = groups.agg(F.date_format(F.max("ingested"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
+        log = run_row(
+            spark, run_id=run_id, kind="incremental", run_at=now, generation=ledger.number + 1, new_files=n_chosen, n_rows=total[0], n_unique=total[1], n_dup_resend=total[2], n_dup_cross_id=total[3],
+            reread_bytes=reread_bytes, capped=n_chosen < waiting, removed=0, newest_published=newest_published,
+        )
+        ledger.commit(
+            replace={
+                "recent_cells": ledger.read("recent_cells").where(F.col("ingested") >= cutoff).unionByName(rollup.recent_cells(classes)),
+                "pending": ledger.read("pending").join(chosen.select("key"), "key", "left_anti"),
+            },
+            append={
+                "file_index": stamped(entries.withColumns({"status": F.lit("live"), "method": method}), run_id),
+                "file_months": rollup.file_month_counts(classes),
+                "cells_delta": stamped(rollup.month_cells(classes), run_id),
+                "vdays_delta": stamped(rollup.vessel_days(classes), run_id),
+                "uw_delta": stamped(minutes, run_id),
+                "runs": log,
+            },
+            **{NEWEST: max(filter(None, (newest, ledger.fact(NEWEST))), default=None), LISTED: now.date().isoformat()},
+        )
+        return RunResult(run_id, ledger.number, n_chosen, total[0], total[1], total[2], total[3], matched.count(), n_reread, reread_bytes, n_chosen < waiting)

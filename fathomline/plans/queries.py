@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import tempfile
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +14,14 @@ from pyspark.sql import functions as F
 from fathomline.functions import grid, scalars
 from fathomline.operators import levels, match, recent, region, rollup, tracks
 from fathomline.operators.classify import classify, summed, tallies
-from fathomline.plans import incremental, reconcile
+from fathomline.plans import census, incremental, reconcile, seed
+from fathomline.plans.ledger import Ledger, push
+from fathomline.plans.work import Work
 from fathomline.plans.view import CLASSIFIED, NOW, READINGS, TALLIES, lat_of, lattice, lon_of, readings, table, up
+from fathomline.sources.archives import AsOf, Tables
+from fathomline.sources.files import Files
+from fathomline.sources.readings import keyed
+from fathomline.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -150,7 +160,7 @@ def vessel_days(spark, sf):
 
 def _live(spark, sf):
     rows = readings(spark, sf)
-    classified = classify(rows)
+    classified = classify(rows).persist()  # cells and vessel-days read it; a session's cache is cleared by its owner
     minutes = rollup.live_minutes(tracks.underway(tracks.minutes(rows)))
     return rollup.live_cells(rollup.month_cells(classified)), rollup.live_vessel_days(rollup.vessel_days(classified)), minutes
 
@@ -165,28 +175,48 @@ def rollup_levels(spark, sf):
     return levels.levels(_live(spark, sf)[0], (4, 6, 8))
 
 
-CELLS4 = f"""SELECT {up('h3', 9, 4)} AS cell, CAST(sum(n_unique) AS BIGINT) AS n_unique, CAST(sum(n_rows) AS BIGINT) AS n_published, {ratio('CAST(sum(n_unique) AS DOUBLE)', 'CAST(sum(n_rows) AS DOUBLE)')} AS dup_share,
+def cells_sql(res: int) -> str:
+    return f"""SELECT {up('h3', 9, res)} AS cell, CAST(sum(n_unique) AS BIGINT) AS n_unique, CAST(sum(n_rows) AS BIGINT) AS n_published, {ratio('CAST(sum(n_unique) AS DOUBLE)', 'CAST(sum(n_rows) AS DOUBLE)')} AS dup_share,
   CAST(count(DISTINCT provider) AS INTEGER) AS n_providers, CAST(min(left(coll_month, 4)) AS INTEGER) AS first_year, CAST(max(left(coll_month, 4)) AS INTEGER) AS last_year, min(coll_month) AS first_month FROM cells GROUP BY 1"""
 
 
-def vessel4(where: str = "") -> str:
-    return f"SELECT {up('h3', 8, 4)} AS cell, CAST(count(DISTINCT platform || '|' || day) AS INTEGER) AS vessel_days, CAST(count(DISTINCT platform) AS INTEGER) AS platforms, CAST(sum(n_unique) AS BIGINT) AS n_unique, CAST(sum(n_rows) AS BIGINT) AS n_published FROM live_vd {where} GROUP BY 1"
+def vessel_sql(res: int, where: str = "") -> str:
+    return f"SELECT {up('h3', 8, res)} AS cell, CAST(count(DISTINCT platform || '|' || day) AS INTEGER) AS vessel_days, CAST(count(DISTINCT platform) AS INTEGER) AS platforms, CAST(sum(n_unique) AS BIGINT) AS n_unique, CAST(sum(n_rows) AS BIGINT) AS n_published FROM live_vd {where} GROUP BY 1"
 
 
-def hours4(where: str = "") -> str:
-    return f"SELECT {up('h3_r8', 8, 4)} AS cell, {HOURS} FROM uw {where} GROUP BY 1"
+def hours_sql(res: int, where: str = "") -> str:
+    return f"SELECT {up('h3_r8', 8, res)} AS cell, {HOURS} FROM uw {where} GROUP BY 1"
 
 
-@query(f"""WITH {LIVE_SQL}, {MINUTES_SQL}, {UNDERWAY_SQL} SELECT c.*, coalesce(v.vessel_days, 0) AS vessel_days, coalesce(v.platforms, 0) AS platforms, coalesce(u.underway_h, 0.0) AS underway_h, coalesce(u.stationary_h, 0.0) AS stationary_h
-FROM ({CELLS4}) c LEFT JOIN ({vessel4()}) v USING (cell) LEFT JOIN ({hours4()}) u USING (cell)""")
+def _archive_sql(res: int) -> str:
+    return f"""WITH {LIVE_SQL}, {MINUTES_SQL}, {UNDERWAY_SQL} SELECT c.*, coalesce(v.vessel_days, 0) AS vessel_days, coalesce(v.platforms, 0) AS platforms, coalesce(u.underway_h, 0.0) AS underway_h, coalesce(u.stationary_h, 0.0) AS stationary_h
+FROM ({cells_sql(res)}) c LEFT JOIN ({vessel_sql(res)}) v USING (cell) LEFT JOIN ({hours_sql(res)}) u USING (cell)"""
+
+
+@query(_archive_sql(4))
 def archive_level(spark, sf):
     return levels.archive_level(*_live(spark, sf), 4)
 
 
+@query(_archive_sql(6))
+def archive_level_r6(spark, sf):
+    return levels.archive_level(*_live(spark, sf), 6)
+
+
+@query(_archive_sql(8))
+def archive_level_r8(spark, sf):
+    return levels.archive_level(*_live(spark, sf), 8)
+
+
+@query(f"WITH {LIVE_SQL} {cells_sql(9)}")
+def fine_level_r9(spark, sf):
+    return levels.cells_at(_live(spark, sf)[0], 9)
+
+
 def _window_sql(days: int) -> str:
     where = f"WHERE day > strftime(DATE '{TODAY}' - {days}, '%Y-%m-%d') AND day <= '{TODAY}'"
     return f"""WITH {LIVE_SQL}, {MINUTES_SQL}, {UNDERWAY_SQL} SELECT coalesce(v.cell, u.cell) AS cell, coalesce(v.vessel_days, 0) AS vessel_days, coalesce(v.platforms, 0) AS platforms, coalesce(v.n_unique, 0) AS n_unique, coalesce(v.n_published, 0) AS n_published,
-coalesce(u.underway_h, 0.0) AS underway_h, coalesce(u.stationary_h, 0.0) AS stationary_h FROM ({vessel4(where)}) v FULL JOIN ({hours4(where)}) u ON u.cell = v.cell"""
+coalesce(u.underway_h, 0.0) AS underway_h, coalesce(u.stationary_h, 0.0) AS stationary_h FROM ({vessel_sql(4, where)}) v FULL JOIN ({hours_sql(4, where)}) u ON u.cell = v.cell"""
 
 
 def _window(spark, sf, days):
@@ -204,6 +234,11 @@ def window_level_30d(spark, sf):
     return _window(spark, sf, 30)
 
 
+@query(_window_sql(365))
+def window_level_365d(spark, sf):
+    return _window(spark, sf, 365)
+
+
 LAST24 = "TIMESTAMP '2024-02-10 00:00:00'"
 
 
@@ -213,7 +248,7 @@ aged AS (SELECT *, greatest(0.0, date_diff('minute', CAST(day AS TIMESTAMP), ing
 uf AS (SELECT {lattice(8, 'lat', 'lon')} AS h3_r8, count(*) FILTER (WHERE band = 'underway') AS min_underway, count(*) FILTER (WHERE band = 'stationary') AS min_stationary FROM banded WHERE file IN (SELECT file FROM f) GROUP BY 1),
 uw AS (SELECT * FROM uf)
 SELECT c.*, coalesce(u.underway_h, 0.0) AS underway_h FROM (SELECT {up('h3', 9, 4)} AS cell, CAST(sum(n_unique) AS BIGINT) AS n_unique, CAST(sum(n_rows) AS BIGINT) AS n_published, CAST(count(DISTINCT unique_id) AS INTEGER) AS platforms, min(day) AS first_day, max(day) AS last_day,
-  round(CAST(sum(n_rows * CAST(age AS DOUBLE)) AS DOUBLE) / sum(n_rows) * 10) / 10 AS mean_age_d FROM aged GROUP BY 1) c LEFT JOIN ({hours4()}) u USING (cell)""")
+  round(CAST(sum(n_rows * CAST(age AS DOUBLE)) AS DOUBLE) / sum(n_rows) * 10) / 10 AS mean_age_d FROM aged GROUP BY 1) c LEFT JOIN ({hours_sql(4)}) u USING (cell)""")
 def last24_level(spark, sf):
     rows = readings(spark, sf)
     now = F.lit("2024-02-11").cast("timestamp")
@@ -238,13 +273,24 @@ def tile_manifest(spark, sf):
     return levels.tiles(levels.cells_at(_live(spark, sf)[0], 6), 6)
 
 
-@query(f"""WITH {READINGS}, p AS (SELECT event_id AS id, (lon_d + 180.0) / 360.0 AS x, (lat_d + 90.0) / 180.0 AS y FROM readings WHERE event_id % 7 = 0), c AS (SELECT DISTINCT {lattice(4)} AS cell FROM readings WHERE provider = 'view' OR event_id % 5 = 0),
+VIEW = (-40.0, -20.0, 60.0, 45.0)
+
+
+@query(f"""WITH {LIVE_SQL}, t AS (SELECT {up(up('h3', 9, 6), 6, 1)} AS p, min({lon_of(up('h3', 9, 6), 6)}) AS w, min({lat_of(up('h3', 9, 6), 6)}) AS s, max({lon_of(up('h3', 9, 6), 6)}) AS e, max({lat_of(up('h3', 9, 6), 6)}) AS n, count(DISTINCT {up('h3', 9, 6)}) AS rows FROM cells GROUP BY 1),
+b AS (SELECT lower(printf('%X', p)) AS part, CAST(rows AS BIGINT) AS rows, CASE WHEN e - w > 180 THEN -180.0 ELSE w END - 0.05 AS w, s - 0.05 AS s, CASE WHEN e - w > 180 THEN 180.0 ELSE e END + 0.05 AS e, n + 0.05 AS n FROM t)
+SELECT part, rows FROM b WHERE w <= {VIEW[2]} AND e >= {VIEW[0]} AND s <= {VIEW[3]} AND n >= {VIEW[1]}""")
+def viewport_tiles(spark, sf):
+    tiles = levels.tiles(levels.cells_at(_live(spark, sf)[0], 6), 6)
+    return levels.viewport(tiles, levels.resolution_of(6), *VIEW).select("part", "rows")
+
+
+@query(f"""WITH {READINGS}, p AS (SELECT event_id AS id, (lon_d + 180.0) / 360.0 AS x, (lat_d + 90.0) / 180.0 AS y FROM readings), c AS (SELECT DISTINCT {lattice(4)} AS cell FROM readings WHERE provider = 'view' OR event_id % 5 = 0),
 k AS (SELECT cell, ({lon_of('cell', 4)} + 180.0) / 360.0 AS cx, ({lat_of('cell', 4)} + 90.0) / 180.0 AS cy FROM c), d AS (SELECT id, cell, (x - cx) * (x - cx) + (y - cy) * (y - cy) AS d2 FROM p JOIN k ON abs(x - cx) <= 0.005 AND abs(y - cy) <= 0.005)
 SELECT id, arg_min(cell, (d2, cell)) AS cell, sqrt(min(d2)) AS distance FROM d WHERE d2 <= 0.005 * 0.005 GROUP BY id""")
 def nearest_cell(spark, sf):
     rows = readings(spark, sf)
     x, y = (F.col("lon_d") + 180.0) / 360.0, (F.col("lat_d") + 90.0) / 180.0
-    points = rows.where("event_id % 7 = 0").select(F.col("event_id").alias("id"), x.alias("x"), y.alias("y"))
+    points = rows.select(F.col("event_id").alias("id"), x.alias("x"), y.alias("y"))
     cells = rows.where("provider = 'view' OR event_id % 5 = 0").select(grid.cell(F.col("lat_d"), F.col("lon_d"), 4).alias("cell")).distinct()
     centre = cells.select("cell", ((grid.center_lon(F.col("cell")) + 180.0) / 360.0).alias("x"), ((grid.center_lat(F.col("cell")) + 90.0) / 180.0).alias("y"))
     return levels.nearest(points, centre, 0.005)
@@ -342,7 +388,14 @@ def in_box(res: int, cell: str = "h3") -> str:
 
 @query(f"SELECT CAST({4} * power(2, 56) AS BIGINT) + x * 268435456 + y AS h3 FROM range(4096) a(x), range(2048) b(y) WHERE (x + 0.5) * 360.0 / 4096 - 180.0 >= -60.0 AND (x + 0.5) * 360.0 / 4096 - 180.0 < 75.0 AND (y + 0.5) * 180.0 / 2048 - 90.0 >= -40.0 AND (y + 0.5) * 180.0 / 2048 - 90.0 < 50.0")
 def region_cells(spark, sf):
-    return region.region_cells(spark, POLYGON, 4)
+    return region.Region(spark, POLYGON, 4).cells()
+
+
+def area_of(cell: str, res: int) -> str:
+    """Square kilometres of a lattice cell on the sphere."""
+    y, ny, nx = f"(({cell}) % 268435456)", 1 << (res + grid.Y_BITS), 1 << (res + grid.X_BITS)
+    edge = lambda k: f"sin(radians(({y} + {k}) * 180.0 / {ny} - 90.0))"
+    return f"{grid.EARTH_KM**2!r} * (2 * pi() / {nx}) * ({edge(1)} - {edge(0)})"
 
 
 LEVEL4 = f"c4 AS (SELECT provider, coll_month, {up('h3', 9, 4)} AS h3, CAST(sum(n_rows) AS BIGINT) AS n_rows, CAST(sum(n_unique) AS BIGINT) AS n_unique FROM cells GROUP BY ALL)"
@@ -350,18 +403,18 @@ LEVEL4 = f"c4 AS (SELECT provider, coll_month, {up('h3', 9, 4)} AS h3, CAST(sum(
 
 @query(f"""WITH {LIVE_SQL}, {LEVEL4}, rc AS (SELECT * FROM c4 WHERE {in_box(4)}), e AS (SELECT h3, sum(n_unique) AS u, sum(n_rows) AS p FROM rc GROUP BY 1)
 SELECT 'all' AS year, CAST(sum(u) AS BIGINT) AS "unique", CAST(sum(p) AS BIGINT) AS published, CAST(count(*) FILTER (WHERE u >= 1) AS BIGINT) AS cells_ge1, CAST(count(*) FILTER (WHERE u >= 100) AS BIGINT) AS cells_ge100,
-(SELECT count(DISTINCT provider) FROM rc) AS providers, round(count(*) FILTER (WHERE u >= 1) / 1572864.0 * 10000) / 10000 AS share_ge1, round(count(*) FILTER (WHERE u >= 100) / 1572864.0 * 10000) / 10000 AS share_ge100 FROM e""")
+(SELECT count(DISTINCT provider) FROM rc) AS providers, round(count(*) FILTER (WHERE u >= 1) / 1572864.0 * 10000) / 10000 AS share_ge1, round(count(*) FILTER (WHERE u >= 100) / 1572864.0 * 10000) / 10000 AS share_ge100,
+round(sum(CASE WHEN u >= 1 THEN {area_of('h3', 4)} END) * 100) / 100 AS km2_covered FROM e""")
 def region_coverage(spark, sf):
     cells = _live(spark, sf)[0].withColumn("h3", grid.parent(F.col("h3"), 4)).groupBy("provider", "coll_month", "h3").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_unique").alias("n_unique"))
-    inside = region.region_cells(spark, POLYGON, 4)
-    return region.coverage(region.within(cells, inside), inside.count()).drop("km2_covered")
+    shape = region.Region(spark, POLYGON, 4)
+    return region.coverage(shape.within(cells), shape.area().first()["region_cells"])
 
 
 @query(f"""WITH {READINGS}, r AS (SELECT *, {lattice(5)} AS h3 FROM readings), f AS (SELECT * FROM r WHERE {in_box(5)}), n AS (SELECT *, count(*) OVER (PARTITION BY key) AS n_copies, row_number() OVER (PARTITION BY key ORDER BY ingested, file, unique_id, provider) AS rn FROM f)
 SELECT key, provider, unique_id, n_copies, file AS first_file FROM n WHERE rn = 1""")
 def region_extract(spark, sf):
-    inside = region.region_cells(spark, POLYGON, 5)
-    return region.extract(region.inside(readings(spark, sf), inside, 5), 5).select("key", "provider", "unique_id", "n_copies", "first_file")
+    return region.extract(region.Region(spark, POLYGON, 5).inside(readings(spark, sf)), 5).select("key", "provider", "unique_id", "n_copies", "first_file")
 
 
 # Recent activity.
@@ -421,8 +474,6 @@ def _runs(spark, sf):
 SELECT CAST((SELECT round(lat) FROM r ORDER BY finished_at DESC, newest_published DESC LIMIT 1) AS BIGINT) AS last_latency_min, (SELECT {sql_ts('newest_published', 'x').removesuffix(' AS x')} FROM r ORDER BY finished_at DESC, newest_published DESC LIMIT 1) AS last_batch_published,
 CAST((SELECT round(median(CAST(lat AS DOUBLE))) FROM r WHERE finished_at >= TIMESTAMP '1998-06-01' - to_days(30)) AS BIGINT) AS median_latency_min_30d""")
 def latency_median(spark, sf):
-    from datetime import datetime
-
     got = recent.latency(_runs(spark, sf), datetime(1998, 6, 1))
     return got.select("last_latency_min", ts("last_batch_published"), "median_latency_min_30d")
 
@@ -451,6 +502,23 @@ def moving_average_7(spark, sf):
     return levels.trailing_mean(d, ["event_type"], "day", "n", 7)
 
 
+@query("""WITH t AS (SELECT event_id, CASE event_id % 6 WHEN 0 THEN CAST(value AS VARCHAR) WHEN 1 THEN '1.5e2' WHEN 2 THEN 'deep' WHEN 3 THEN '' WHEN 4 THEN '12x' END AS number,
+  CASE event_id % 5 WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ') WHEN 1 THEN 'no-time' WHEN 2 THEN '2024-02-30T00:00:00Z' WHEN 3 THEN left(strftime(ts, '%Y-%m-%dT%H:%M:%SZ'), 10) END AS time,
+  CASE event_id % 3 WHEN 0 THEN strftime(ts, '%Y%m%d%H%M%S') || '000000_a.csv' WHEN 1 THEN 'notastamp' END AS file, event_type || ' & Co., No. ' || CAST(user_id % 7 AS VARCHAR) AS name FROM events)
+SELECT event_id, TRY_CAST(CASE WHEN regexp_full_match(number, '[-+]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][-+]?[0-9]+)?') THEN number END AS DOUBLE) AS number, strftime(TRY_STRPTIME(left(time, 19), '%Y-%m-%dT%H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS at, CAST(TRY_CAST(left(time, 10) AS DATE) AS VARCHAR) AS day,
+  CASE WHEN regexp_matches(coalesce(time, ''), '^[0-9]{4}-[0-9]{2}') THEN left(time, 7) ELSE 'invalid' END AS month, strftime(TRY_STRPTIME(left(file, 14), '%Y%m%d%H%M%S'), '%Y-%m-%d %H:%M:%S') AS stamp, trim(regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM t""")
+def lenient_parsing(spark, sf):
+    e, n = table(spark, sf, "events"), F.col("event_id")
+    time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    t = e.select(
+        n, F.when(n % 6 == 0, F.col("value").cast("string")).when(n % 6 == 1, "1.5e2").when(n % 6 == 2, "deep").when(n % 6 == 3, "").when(n % 6 == 4, "12x").alias("number"),
+        F.when(n % 5 == 0, time).when(n % 5 == 1, "no-time").when(n % 5 == 2, "2024-02-30T00:00:00Z").when(n % 5 == 3, F.left(time, F.lit(10))).alias("time"),
+        F.when(n % 3 == 0, F.concat(F.date_format("ts", "yyyyMMddHHmmss"), F.lit("000000_a.csv"))).when(n % 3 == 1, "notastamp").alias("file"), F.concat("event_type", F.lit(" & Co., No. "), (F.col("user_id") % 7).cast("string")).alias("name"),
+    )
+    c, text = F.col, lambda x: F.date_format(x, "yyyy-MM-dd HH:mm:ss")
+    return t.select(n, scalars.safe_double(c("number")).alias("number"), text(scalars.parse_time(c("time"))).alias("at"), F.left("time", F.lit(10)).try_cast("date").cast("string").alias("day"), scalars.month_of(F.coalesce("time", F.lit(""))).alias("month"), text(scalars.parse_stamp(c("file"))).alias("stamp"), scalars.slug_column(c("name")).alias("slug"))
+
+
 @query("""WITH r AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS j FROM events)
 SELECT user_id, event_type, CAST(min(i) AS BIGINT) AS first, CAST(count(*) AS BIGINT) AS length FROM r GROUP BY user_id, event_type, i - j""")
 def run_length(spark, sf):
@@ -472,38 +540,157 @@ def year_rollup(spark, sf):
     return cells.groupBy(F.left("coll_month", F.lit(4)).alias("year")).agg(F.sum("n_rows").alias("n_rows"), F.sum("n_unique").alias("n_unique"), F.sum(F.col("n_rows") - F.col("n_unique")).alias("n_dup"))
 
 
-# What SQL cannot express: state, streaming.
-
-
-@query()
+# Whole runs over an archive made of the view's readings, and streams.
+
+
+@contextmanager
+def _folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A folder that driver and executors share, for as long as a query works in it."""
+    context = spark.sparkContext
+    top = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not context.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        top = tempfile.gettempdir()
+    path = f"{top}/{name}-{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        Files(spark).remove(path)
+
+
+def _result(df: DataFrame) -> DataFrame:
+    """A small result that does not need the folder it was made in any more."""
+    df = df.persist()
+    rows = df.collect()  # a row for each file, provider or month of the view
+    df.unpersist()
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
+def _archive(spark: SparkSession, rows: DataFrame) -> Tables:
+    """Readings as an archive: files are published in order, some seconds after their stamp, under the day of the stamp."""
+    text = rows.withColumns({"file": F.concat(F.date_format("ingested", "yyyyMMddHHmmss"), F.lit("-"), "file"), "lon": F.col("lon_d").cast("string"), "lat": F.col("lat_d").cast("string"), "depth": F.col("key")})
+    published = text.select("file", F.col("unique_id").alias("UNIQUE_ID"), F.col("provider").alias("PROVIDER"), F.col("lon").alias("LON"), F.col("lat").alias("LAT"), F.col("depth").alias("DEPTH"), F.col("time").alias("TIME"))
+    listed = text.groupBy("file", "ingested").agg(F.count("*").alias("size")).select(
+        F.concat(F.lit("a/"), F.date_format("ingested", "yyyy/MM/dd"), F.lit("/"), "file").alias("key"), F.col("file").alias("name"), "size", F.lit("e").alias("etag"), (F.col("ingested") + F.expr("interval 30 seconds")).alias("last_modified")
+    )
+    return Tables(listed, published)
+
+
+# The archive's identity: position, day's bin and time as published; `depth` carries the view's own key.
+RUN_READINGS = f"""{READINGS}, pub AS (SELECT strftime(ingested, '%Y%m%d%H%M%S') || '-' || file AS file, unique_id, provider, time, coll_month, ingested, lon_d, lat_d,
+  md5(concat_ws('|', CAST(lon_d AS VARCHAR), CAST(lat_d AS VARCHAR), key, time)) AS key FROM readings)"""
+AGAIN_DAYS = 12
+
+
+def _twice(rows: DataFrame) -> DataFrame:
+    """The readings, and all of each file once more, some days later."""
+    later = rows.withColumn("ingested", F.col("ingested") + F.expr(f"interval {AGAIN_DAYS} days"))
+    return rows.unionByName(later)
+
+
+RUN_CLASSES = f"""{RUN_READINGS}, both_times AS (SELECT * FROM pub UNION ALL SELECT strftime(ingested + to_days({AGAIN_DAYS}), '%Y%m%d%H%M%S') || '-' || right(file, 3) AS file, unique_id, provider, time, coll_month, ingested + to_days({AGAIN_DAYS}) AS ingested, lon_d, lat_d, key FROM pub),
+classified AS (SELECT *, CASE WHEN row_number() OVER w = 1 THEN 'unique' WHEN first_value(unique_id) OVER w = unique_id THEN 'dup_resend' ELSE 'dup_cross_id' END AS class
+  FROM both_times WINDOW w AS (PARTITION BY key ORDER BY ingested, file, unique_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+RUN_NOW = datetime(2024, 2, 25, tzinfo=UTC)
+
+
+@contextmanager
+def _grown(spark: SparkSession, sf: str) -> Iterator[tuple[Ledger, Tables]]:
+    """A ledger seeded with the first files and brought up to date by two runs."""
+    cutoff = datetime(2024, 2, 6, tzinfo=UTC)
+    with _folder(spark, "fathomline-run") as where, Work(spark, where) as work:
+        made = _archive(spark, _twice(readings(spark, sf)))
+        archive = Tables(work.keep(made.listed), work.keep(made.rows))
+        early = AsOf(archive, cutoff)
+        census.stage(spark, keyed(archive.published(spark, early.listing(spark))), f"{where}/census", "early")
+        census.rank(spark, f"{where}/census")
+        census.finalize(spark, f"{where}/census")
+        ledger = Ledger(spark, f"{where}/ledger")
+        seed.seed(spark, f"{where}/census", ledger, early, now=cutoff)
+        for now in (datetime(2024, 2, 12, tzinfo=UTC), RUN_NOW):
+            incremental.run(spark, ledger, AsOf(archive, now), now, f"run-{now:%m%d}")
+        yield ledger, archive
+
+
+@query(f"WITH {RUN_CLASSES} SELECT file, unique_id, min(provider) AS provider, 'live' AS status, {TALLIES} FROM classified GROUP BY file, unique_id")
+def incremental_run(spark, sf):
+    """Census, seed, two runs; the second finds whole files again by their fingerprints."""
+    with _grown(spark, sf) as (ledger, _):
+        return _result(ledger.read("file_index").select("file", "unique_id", "provider", "status", "n_rows", "n_unique", "n_dup_resend", "n_dup_cross_id"))
+
+
+@query(f"""WITH {RUN_CLASSES}, n AS (SELECT coll_month, provider, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) FILTER (WHERE class = 'unique') AS BIGINT) AS n_unique FROM classified WHERE {lattice(9)} IS NOT NULL GROUP BY ALL),
+v AS (SELECT provider, platform, day, count(*) AS cells FROM (SELECT provider, unique_id AS platform, left(time, 10) AS day, {lattice(8)} AS h3 FROM classified WHERE {lattice(8)} IS NOT NULL GROUP BY ALL HAVING count(*) FILTER (WHERE class <> 'dup_cross_id') > 0) GROUP BY ALL)
+SELECT n.*, (SELECT CAST(sum(cells) AS BIGINT) FROM v WHERE v.provider = n.provider AND left(day, 7) = n.coll_month) AS vessel_day_cells FROM n""")
+def live_after_runs(spark, sf):
+    """Base and deltas of cells and vessel-days, as the ledger has them after the runs."""
+    with _grown(spark, sf) as (ledger, _):
+        cells = rollup.live_cells(rollup.base_plus_delta(ledger.read("cells_base"), ledger.read("cells_delta")))
+        vdays = rollup.live_vessel_days(rollup.base_plus_delta(ledger.read("vdays_base"), ledger.read("vdays_delta")))
+        a = cells.groupBy("coll_month", "provider").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_unique").alias("n_unique"))
+        b = vdays.groupBy(F.left("day", F.lit(7)).alias("coll_month"), "provider").agg(F.count("*").alias("vessel_day_cells"))
+        return _result(a.join(b, ["coll_month", "provider"], "left"))
+
+
+GONE = "CAST(right(file, 2) AS INTEGER) % 4 = 1"
+
+
+@query(f"""WITH {RUN_CLASSES}, f AS (SELECT * FROM classified WHERE strptime(left(file, 14), '%Y%m%d%H%M%S') >= TIMESTAMP '2024-02-06' AND {GONE}),
+vd AS (SELECT provider, unique_id AS platform, left(time, 10) AS day, {lattice(8)} AS h3_r8, {TALLIES} FROM f WHERE {lattice(8)} IS NOT NULL GROUP BY ALL)
+SELECT provider, platform, CAST(count(*) AS BIGINT) AS keys, -CAST(sum(n_rows) AS BIGINT) AS n_rows, -CAST(sum(n_unique) AS BIGINT) AS n_unique, -CAST(sum(n_dup_resend) AS BIGINT) AS n_dup_resend, -CAST(sum(n_dup_cross_id) AS BIGINT) AS n_dup_cross_id FROM vd GROUP BY ALL""")
+def reconcile_vessel_days(spark, sf):
+    """Files vanish from the listing; what reconciliation takes back from the vessel-days of files that runs brought."""
+    with _grown(spark, sf) as (ledger, archive):
+        left = Tables(archive.listed.where("cast(right(key, 2) as int) % 4 <> 1"), archive.rows)
+        reconcile.reconcile(spark, ledger, left, RUN_NOW)
+        taken = ledger.read("vdays_delta").where(F.col("run_id").startswith("reconcile"))
+        return _result(taken.groupBy("provider", "platform").agg(F.count("*").alias("keys"), *summed()))
+
+
+@query(f"""WITH {RUN_CLASSES}, g AS (SELECT file, unique_id, min(provider) AS provider FROM classified WHERE {GONE} GROUP BY ALL HAVING count(*) FILTER (WHERE class = 'unique') > 0)
+SELECT DISTINCT g.provider, c.coll_month, 'removed original' AS reason FROM g JOIN classified c USING (file, unique_id)""")
+def reconcile_queue(spark, sf):
+    """Months to be counted again after originals vanished."""
+    with _grown(spark, sf) as (ledger, archive):
+        left = Tables(archive.listed.where("cast(right(key, 2) as int) % 4 <> 1"), archive.rows)
+        reconcile.reconcile(spark, ledger, left, RUN_NOW)
+        return _result(ledger.read("queue").where("reason = 'removed original'").select("provider", "coll_month", "reason").distinct())
+
+
+@query(f"WITH {CLASSIFIED} SELECT provider, coll_month, {TALLIES} FROM classified GROUP BY ALL")
 def state_roundtrip(spark, sf):
-    """A table committed as a generation, verified and read back."""
-    import tempfile
-    from pathlib import Path
-
-    from fathomline.plans.state import State
-
-    base = (spark.conf.get("spark.checkpoint.dir", None) or "").removeprefix("file://") or None
-    state = State(Path(tempfile.mkdtemp(prefix="fathomline-state-", dir=base if base and Path(base).is_dir() else None)))
-    state.commit({"cells_base": rollup.month_cells(classify(readings(spark, sf)))})
-    again = State(state.root)
-    again.verify()
-    return again.read(spark, "cells_base").groupBy("provider", "coll_month").agg(*summed())
+    """A table committed to a ledger, checked, mirrored and read back from the mirror."""
+    with _folder(spark, "fathomline-ledger") as where:
+        here, there = Ledger(spark, f"{where}/here"), Ledger(spark, f"{where}/there")
+        here.commit({"cells_base": rollup.month_cells(classify(readings(spark, sf)))})
+        push(here, there, found=True)
+        there.check(deep=True)
+        return _result(Ledger(spark, there.root).read("cells_base").groupBy("provider", "coll_month").agg(*summed()))
 
 
 @query(f"WITH {READINGS}, o AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY (event_id % 40) // 8, ingested, file, unique_id, event_id) AS n, first_value(unique_id) OVER (PARTITION BY key ORDER BY (event_id % 40) // 8, ingested, file, unique_id, event_id) AS u FROM readings), classified AS (SELECT *, CASE WHEN n = 1 THEN 'unique' WHEN u = unique_id THEN 'dup_resend' ELSE 'dup_cross_id' END AS class FROM o) SELECT provider, {TALLIES} FROM classified GROUP BY ALL")
 def stream_classify(spark, sf):
-    """Five micro-batches through the streaming sink; equal to a full census, as batches come in order of ingest."""
-    import tempfile
-    from pathlib import Path
-
-    from fathomline.streaming.ingest import classify_batch
-
-    base = (spark.conf.get("spark.checkpoint.dir", None) or "").removeprefix("file://") or None
-    out = Path(tempfile.mkdtemp(prefix="fathomline-stream-", dir=base if base and Path(base).is_dir() else None))
-    rows = readings(spark, sf)
-    for n in range(5):
-        classify_batch(rows.where(F.floor((F.col("event_id") % 40) / 8) == n).drop("event_id"), n, out)
-    return spark.read.parquet(str(out / "classified")).groupBy("provider").agg(*tallies())
-
-
+    """A stream of five micro-batches; equal to a full census, as batches come in order of ingest."""
+    with _folder(spark, "fathomline-stream") as where:
+        rows = readings(spark, sf).drop("event_id")
+        for n in range(5):  # a file of the stream's source for each batch, in order of their times
+            batch = rows.where(F.floor(F.substring("file", 2, 2).cast("int") / 8) == n)
+            batch.coalesce(1).write.mode("append").parquet(f"{where}/source")
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{where}/source")
+        ingest.start(stream, f"{where}/out", f"{where}/progress").awaitTermination()
+        return _result(spark.read.parquet(f"{where}/out/classified").groupBy("provider").agg(*tallies()))
+
+
+@query(f"WITH {READINGS} SELECT {sql_ts('time_bucket(INTERVAL 6 HOUR, ingested)', 'start')}, provider, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT unique_id) AS INTEGER) AS platforms FROM readings GROUP BY ALL")
+def stream_windows(spark, sf):
+    """The streaming form of the 6-hour batches, with exact platforms."""
+    name = f"windows_{uuid.uuid4().hex}"
+    with _folder(spark, "fathomline-windows") as where:
+        rows = readings(spark, sf).select("ingested", "provider", "unique_id")
+        rows.write.parquet(f"{where}/source")
+        stream = ingest.windowed(spark.readStream.schema(rows.schema).parquet(f"{where}/source"))
+        stream.writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", f"{where}/progress").trigger(availableNow=True).start().awaitTermination()
+        out = _result(spark.table(name).select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("start"), "provider", "n_rows", "platforms"))
+        spark.catalog.dropTempView(name)
+        return out

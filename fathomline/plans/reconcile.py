@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomline.functions import grid
-from fathomline.functions.schema import STATE
 from fathomline.operators.classify import summed
 from fathomline.plans.incremental import naive, run_row, stamped
-from fathomline.plans.state import State
+from fathomline.plans.ledger import Ledger
+from fathomline.plans.work import Work
 from fathomline.session import ensure
-from fathomline.sources.objects import ROOT, ObjectSource, listing_table
+from fathomline.sources.archives import Archive
 
 
 @dataclass(frozen=True)
@@ -67,31 +67,24 @@ def recount_queue(gone: DataFrame, months: DataFrame, recent: DataFrame, at) ->
     return rows.where((F.col("n_unique") > 0) | F.col("_held").isNull()).select("provider", "coll_month", reason.alias("reason"), at.alias("queued_at")).distinct()
 
 
-def reconcile(spark: SparkSession, state: State, source: ObjectSource, now: datetime) -> Reconciled:
+def reconcile(spark: SparkSession, ledger: Ledger, archive: Archive, now: datetime) -> Reconciled:
     ensure(spark)
-    state.verify()
+    ledger.check()
     now = naive(now)
     at = F.lit(now).cast("timestamp")
     run_id = f"reconcile-{now:%Y%m%dT%H%M}"
-    t = {name: state.read(spark, name) for name in STATE}
-    listed = listing_table(spark, source.listing(ROOT)).persist()
-    gone = gone_groups(t["file_index"], listed).persist()
-    removed, republished = gone.agg(F.count("*"), F.count_if("republished")).first()
-    missed = listed.select("key", "etag").join(t["file_index"].select("key", "etag"), ["key", "etag"], "left_anti").join(t["pending"].select("key", "etag"), ["key", "etag"], "left_anti").persist()
-    queue = t["queue"].unionByName(recount_queue(gone, t["file_months"], t["recent_cells"], at)).persist()
-    add = lambda name, rows: t[name].unionByName(stamped(rows, run_id))
-    log = run_row(spark, run_id=run_id, kind="reconcile", run_at=now, generation=state.manifest.generation + 1, new_files=0, n_rows=0, n_unique=0, n_dup_resend=0, n_dup_cross_id=0, reread_bytes=0, capped=False, removed=removed)
-    manifest = state.commit({
-        "file_index": mark_removed(t["file_index"], gone, at),
-        "cells_delta": add("cells_delta", retract_cells(t["recent_cells"], gone)),
-        "vdays_delta": add("vdays_delta", retract_vessel_days(t["recent_cells"], gone)),
-        "uw_delta": add("uw_delta", retract_minutes(t["uw_delta"], gone)),
-        "recent_cells": t["recent_cells"].join(gone.select("file", "unique_id"), ["file", "unique_id"], "left_anti"),
-        "pending": t["pending"].unionByName(missed.withColumn("seen_at", at)),
-        "queue": queue,
-        "runs": t["runs"].unionByName(log),
-    })
-    result = Reconciled(manifest.generation, listed.count(), removed, republished, missed.count(), queue.select("provider", "coll_month").distinct().count())
-    for df in (listed, gone, missed, queue):
-        df.unpersist()
-    return result
+    index, recent, pending = (ledger.read(t) for t in ("file_index", "recent_cells", "pending"))
+    with Work(spark, ledger.root) as work:
+        listed = work.keep(archive.listing(spark))
+        gone = work.keep(gone_groups(index, listed))
+        removed, republished = gone.agg(F.count("*"), F.count_if("republished")).first()
+        missed = work.keep(listed.select("key", "etag").join(index.select("key", "etag"), ["key", "etag"], "left_anti").join(pending.select("key", "etag"), ["key", "etag"], "left_anti"))
+        log = run_row(spark, run_id=run_id, kind="reconcile", run_at=now, generation=ledger.number + 1, new_files=0, n_rows=0, n_unique=0, n_dup_resend=0, n_dup_cross_id=0, reread_bytes=0, capped=False, removed=removed)
+        signed = {"cells_delta": retract_cells(recent, gone), "vdays_delta": retract_vessel_days(recent, gone), "uw_delta": retract_minutes(ledger.read("uw_delta"), gone)}
+        ledger.commit(
+            replace={"file_index": mark_removed(index, gone, at), "recent_cells": recent.join(gone.select("file", "unique_id"), ["file", "unique_id"], "left_anti")},
+            append={name: stamped(rows, run_id) for name, rows in signed.items()}
+            | {"pending": missed.withColumn("seen_at", at), "queue": recount_queue(gone, ledger.read("file_months"), recent, at), "runs": log},
+        )
+        queued = ledger.read("queue").select("provider", "coll_month").distinct().count()
+        return Reconciled(ledger.number, listed.count(), removed, republished, missed.count(), queued)

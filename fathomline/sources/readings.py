@@ -1,15 +1,13 @@
-"""Published CSV files as keyed readings."""
+"""Published rows as keyed readings."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.functions.identity import key
 from fathomline.functions.scalars import month_of, parse_stamp, safe_double
-from fathomline.functions.schema import PUBLISHED, struct
+from fathomline.functions.schema import struct
 
 KEYED = "file string, unique_id string, provider string, lon string, lat string, depth string, time string, key string, coll_month string, ingested timestamp, lon_d double, lat_d double"
 
@@ -23,11 +21,3 @@ def keyed(rows: DataFrame) -> DataFrame:
         "lon_d": safe_double(c("lon")), "lat_d": safe_double(c("lat")),
     })
     return made.select(*struct(KEYED).names)
-
-
-def read_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Files with a header, everything as text; a file whose columns do not fit is an error."""
-    if not paths:
-        return spark.createDataFrame([], KEYED)
-    reader = spark.read.schema(struct(PUBLISHED)).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").option("escape", '"')
-    return keyed(reader.csv(list(paths)).withColumn("file", F.col("_metadata.file_name")))

@@ -2,19 +2,20 @@ from __future__ import annotations
 
 import http.client
 import math
-from datetime import UTC, date, datetime
+import urllib.parse
+from datetime import date, datetime
 
 import duckdb
 import pytest
-from archive import READINGS, archive
+from observations import WHOLE, publish
 from pyspark.sql import functions as F
 
 from fathomline.functions import grid, identity, projection, scalars
-from fathomline.functions.schema import STATE, conform, struct
+from fathomline.functions.schema import PUBLISHED, STATE, conform, struct
 from fathomline.operators import levels, match, recent, region, tracks
 from fathomline.operators.classify import classify, classify_by_window
 from fathomline.plans import queries
-from fathomline.sources import objects
+from fathomline.sources import archives
 from fathomline.streaming import ingest
 
 
@@ -84,11 +85,24 @@ def test_polygon_with_hole_against_points(spark):
 
 def test_polygons_of_documents():
     ring = [[0, 0], [1, 0], [1, 1], [0, 0]]
-    assert len(region.polygons({"type": "FeatureCollection", "features": [{"geometry": {"type": "MultiPolygon", "coordinates": [[ring], [ring]]}}]})) == 2
+    several = {"type": "MultiPolygon", "coordinates": [[ring], [ring]]}
+    doc = {"type": "FeatureCollection", "features": [{"type": "Feature", "geometry": several}, {"type": "Feature", "geometry": {"type": "GeometryCollection", "geometries": [several]}}]}
+    assert list(region.polygons(doc)) == [[ring]] * 4 and list(region.polygons({"type": "FeatureCollection", "features": []})) == []
     with pytest.raises(ValueError):
-        region.polygons({"type": "Point", "coordinates": [0, 0]})
-    with pytest.raises(ValueError):
-        region.polygons({"type": "FeatureCollection", "features": []})
+        list(region.polygons({"type": "Point", "coordinates": [0, 0]}))
+
+
+def test_region_of_overlapping_polygons(spark):
+    box = lambda w, s, e, n: [[[w, s], [e, s], [e, n], [w, n], [w, s]]]
+    shape = region.Region(spark, [box(0, 0, 10, 10), box(5, 5, 20, 12), box(10, 0, 12, 3)], 2)
+    cells = [r.h3 for r in shape.cells().collect()]
+    assert len(cells) == len(set(cells)) == shape.area().first().region_cells
+    total = shape.cells().agg(F.sum(grid.area_km2(F.col("h3")))).first()[0]
+    assert shape.area().first().region_km2 == pytest.approx(total, abs=0.01)
+    points = spark.createDataFrame([(float(x), float(y)) for x in range(-2, 23) for y in range(-2, 15)], "lon_d double, lat_d double")
+    got = {(r.lon_d, r.lat_d) for r in shape.inside(points).collect()}
+    want = {(r.lon_d, r.lat_d) for r in points.withColumn("h3", grid.cell(F.col("lat_d"), F.col("lon_d"), 2)).join(shape.cells(), "h3", "left_semi").collect()}
+    assert got == want and got
 
 
 def test_classify_ways_agree_and_hot_keys_split(spark):
@@ -97,6 +111,9 @@ def test_classify_ways_agree_and_hot_keys_split(spark):
     a, b = ({r.n: r["class"] for r in f(df).collect()} for f in (classify, classify_by_window))
     unique = {n for n, c in a.items() if c == "unique"}
     assert a == b and len(a) == len(rows) and len(unique) == 4
+    lost = df.withColumn("key", F.when(F.col("key") != "h", F.col("key")))
+    a, b = ({r.n: r["class"] for r in f(lost).collect()} for f in (classify, classify_by_window))
+    assert a == b and len(a) == len(rows)  # a null key is a key
     plan = classify(df)._jdf.queryExecution().optimizedPlan().toString()
     assert "windowspecdefinition(key" in plan and "ingested" in plan  # the window is by key, file and the like, not by key alone
 
@@ -151,61 +168,112 @@ def test_conform(spark):
     assert got.schema == struct(STATE["pending"]) and got.first().etag is None
 
 
-PAGE = b"""<ListBucketResult xmlns="http://s3.amazonaws.com/doc/2006-03-01/"><IsTruncated>true</IsTruncated><NextContinuationToken>t</NextContinuationToken>
-<Contents><Key>csb/csv/2026/09/01/a.csv</Key><LastModified>2026-09-01T00:01:00.000Z</LastModified><ETag>"e"</ETag><Size>3</Size></Contents>
-<Contents><Key>csb/csv/2026/09/01/a.txt</Key><LastModified>2026-09-01T00:01:00.000Z</LastModified><ETag>"x"</ETag><Size>3</Size></Contents></ListBucketResult>"""
+def page(names, more=None):
+    items = "".join(f'<Contents><Size>4</Size><Key>{n}</Key><ETag>"tag-{n[-5]}"</ETag><LastModified>2025-03-02T00:10:00.000Z</LastModified></Contents>' for n in names)
+    return f'<ListBucketResult xmlns="http://s3.amazonaws.com/doc/2006-03-01/">{items}<IsTruncated>{"true" if more else "false"}</IsTruncated>{f"<NextContinuationToken>{more}</NextContinuationToken>" if more else ""}</ListBucketResult>'.encode()
+
+
+def test_listing_goes_on_to_the_last_page():
+    asked, answers = [], {"": page(["p/a.csv", "p/readme.txt"], "next one"), "next one": page(["p/b.csv"])}
+
+    def get(target):
+        query = urllib.parse.parse_qs(target.removeprefix("/?"))
+        asked.append(query["prefix"][0])
+        return answers[query.get("continuation-token", [""])[0]]
+
+    got = list(archives.listed_below(get, "p/"))
+    assert [c["key"] for c in got] == [["p/a.csv"], ["p/b.csv"]] and asked == ["p/", "p/"]
+    assert got[1] == {"key": ["p/b.csv"], "size": [4], "etag": ["tag-b"], "last_modified": ["2025-03-02T00:10:00.000Z"]}
+
 
+class Server:
+    """Answers in turn; counts connections and pauses."""
 
-def test_bucket(tmp_path):
-    class Fake(objects.Bucket):
-        answers = [PAGE, PAGE.replace(b"true", b"false"), b"ab", b"abc"]
+    def __init__(self, *answers):
+        self.answers, self.opened, self.pauses = list(answers), 0, []
 
-        def _get(self, target):
-            return self.answers.pop(0)
+    def connection(self):
+        return archives.Connection("host", connect=self.connect, sleep=self.pauses.append)
 
-    bucket = Fake("host")
-    found = list(bucket.listing("csb/"))
-    assert [(o.key, o.size, o.etag) for o in found] == [("csb/csv/2026/09/01/a.csv", 3, "e")] * 2 and found[0].last_modified == datetime(2026, 9, 1, 0, 1, tzinfo=UTC)
-    objects.retrying, kept = (lambda action, what: kept(action, what, sleep=lambda s: None)), objects.retrying
-    try:
-        assert bucket.paths(found[:1], tmp_path) == [str(tmp_path / "a.csv")] and (tmp_path / "a.csv").read_bytes() == b"abc"
-        assert bucket.paths(found[:1], tmp_path)  # there already: nothing is fetched
-    finally:
-        objects.retrying = kept
-    assert objects.day_of("csb/csv/2026/09/01/a.csv") == date(2026, 9, 1) and objects.day_of("x") is None
+    def connect(self, host, timeout):
+        self.opened += 1
+        return self
 
+    def request(self, method, target):
+        assert method == "GET"
 
-@pytest.mark.parametrize(("faults", "tries"), [([TimeoutError(), http.client.IncompleteRead(b"")], 3), ([objects.HttpStatus(503, "x")], 2)])
-def test_retries(faults, tries):
-    seen = []
+    def getresponse(self):
+        answer = self.answers.pop(0)
+        if isinstance(answer, Exception):
+            raise answer
+        self.status, self.body = answer
+        return self
 
-    def action():
-        seen.append(1)
-        if faults:
-            raise faults.pop(0)
-        return "done"
+    def read(self):
+        return self.body
 
-    assert objects.retrying(action, "x", sleep=lambda s: None) == "done" and len(seen) == tries
 
+@pytest.mark.parametrize("faults", [[], [TimeoutError()], [http.client.IncompleteRead(b""), (503, b"")], [(200, b"abc"), ConnectionResetError(), (500, b"")]])
+def test_faults_are_waited_out(faults):
+    server = Server((200, b"abcd"), *faults, (200, b"abcd"))
+    connection = server.connection()
+    assert connection.get("/x", 4) == connection.get("/x", 4) == b"abcd"
+    assert len(server.pauses) == len(faults) and server.opened == 1 + len(faults)
 
-def test_refusals_are_final():
-    calls = []
 
-    def action():
-        calls.append(1)
-        raise objects.HttpStatus(403, "x")
+def test_refusals_and_lasting_faults_are_final():
+    refusing = Server((403, b""))
+    with pytest.raises(archives.Refused):
+        refusing.connection().get("/x")
+    lasting = Server(*[TimeoutError()] * 9)
+    with pytest.raises(TimeoutError):
+        lasting.connection().get("/x")
+    assert (refusing.pauses, len(lasting.pauses)) == ([], len(archives.Connection.PAUSES))
 
-    with pytest.raises(objects.HttpStatus):
-        objects.retrying(action, "x", sleep=lambda s: None)
-    assert len(calls) == 1
+
+def test_fetched_files_become_rows(spark):
+    header = ",".join(struct(PUBLISHED).names)
+    files = [("a/2025/03/02/x.csv", f'{header}\r\nu,f,1.0,2.0,3.0,t,"name, with comma",p\r\n\r\n'.encode()), ("a/2025/03/02/y.csv", f"{header}\n".encode())]
+    rows = archives.parsed(spark.createDataFrame(files, "key string, content binary")).collect()
+    assert [(r.file, r.UNIQUE_ID, r.PLATFORM_NAME, r.PROVIDER) for r in rows] == [("x.csv", "u", "name, with comma", "p")]
+    with pytest.raises(Exception, match="unexpected header"):
+        archives.parsed(spark.createDataFrame([("z.csv", b"LAT,LON\n1,2\n")], "key string, content binary")).collect()
+
+
+def test_listing_of_a_folder(spark, tmp_path):
+    paths = publish(tmp_path, "line", "strait")
+    (tmp_path / "csb/csv/readme.txt").write_text("no")
+    archive = archives.Folder(str(tmp_path))
+    every = {r["name"]: r for r in archive.listing(spark).collect()}
+    assert set(every) == {p.name for p in paths.values()} and every[paths["line"].name]["size"] == paths["line"].stat().st_size
+    assert [r["name"] for r in archive.listing(spark, [date(2025, 3, 3), date(2031, 1, 1)]).collect()] == [paths["strait"].name]
+    key = every[paths["line"].name]["key"]
+    assert key == paths["line"].relative_to(tmp_path).as_posix() and one(spark, archives.day_of(F.col("x")), x=key) == date(2025, 3, 2)
+    assert one(spark, archives.day_of(F.col("x")), x="notes/2025/13/77/a.csv") is None
+    publish(tmp_path, "line")
+    paths["line"].write_text(paths["line"].read_text() + "\n")
+    assert next(r["etag"] for r in archive.listing(spark).collect() if r["name"] == paths["line"].name) != every[paths["line"].name]["etag"]
+    assert archives.Folder(str(tmp_path / "none")).listing(spark).isEmpty()
 
 
 def test_stream_equals_batch(spark, tmp_path):
-    archive(tmp_path / "b")
-    query = ingest.start(ingest.read_stream(spark, str(tmp_path / "b"), files_per_trigger=100), tmp_path / "out", str(tmp_path / "cp"))
+    publish(tmp_path / "b")
+    query = ingest.start(ingest.read_stream(spark, str(tmp_path / "b"), files_per_trigger=100), str(tmp_path / "out"), str(tmp_path / "cp"))
     query.awaitTermination(120)
     got = spark.read.parquet(str(tmp_path / "out" / "classified"))
-    assert got.count() == 18 and got.where("class = 'unique'").count() == len(READINGS) - 1 == 10
+    assert (got.count(), got.where("class = 'unique'").count()) == WHOLE[:2]
+
+
+def test_stream_in_small_batches_and_windows(spark, tmp_path):
+    publish(tmp_path / "b")
+    readings = ingest.read_stream(spark, str(tmp_path / "b"), bytes_per_trigger=600)
+    ingest.start(readings, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(240)
+    got = spark.read.parquet(str(tmp_path / "out" / "classified"))
+    assert got.select("batch").distinct().count() > 1 and got.count() == WHOLE[0]
+    held = ingest.windowed(ingest.read_stream(spark, str(tmp_path / "b"))).writeStream.format("memory").queryName("windows").outputMode("complete").trigger(availableNow=True).start()
+    held.awaitTermination(120)
+    rows = spark.table("windows").collect()
+    assert sum(r.n_rows for r in rows) == WHOLE[0] and all(r.platforms == 1 for r in rows)
 
 
 def test_projection_needs_its_package(spark):

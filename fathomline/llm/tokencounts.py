@@ -6,8 +6,11 @@ the prefix alone, so distinct pre-tokens are inserted into a trie, each node hol
 its prefix: shared prefixes are computed once, and a pre-token's count is read at its last node. Scores are whole
 numbers (millionths of a nat), so results do not depend on the order of sums.
 
-A trie of more than NODES is begun anew before the next batch, which changes no result. Pre-tokens of more than LONG bytes run
-through a plain table of the same recurrence instead.
+Every task keeps one trie for the pre-tokens of its rows. One over the whole corpus would need each pair of a document and
+a distinct pre-token of it to be shuffled twice, several times the texts themselves; a task's rows repeat their words
+often enough. A trie of more than NODES nodes and known words is begun anew before the next batch, which changes no
+result. Pre-tokens of more than LONG bytes are not kept: they run through a rolling table of the same recurrence, as
+long as the longest token.
 
 Defined cases: a null or empty text has no pre-tokens and no tokens; repeated rows are counted each; a null id stays; an
 empty table gives none; other columns are ignored.
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from fathomline.llm import bpe
 from fathomline.llm.common import batches, table
 
-#: Nodes of a worker's trie, bytes of a pre-token that still goes into it, and the offset of the Zipf ranks.
+#: Nodes and words of a worker's trie, bytes of a pre-token that still goes into it, and the offset of the Zipf ranks.
 NODES, LONG, OFFSET = 400_000, 256, 2
 
 
@@ -44,6 +47,7 @@ class Trie:
     def __init__(self, score: dict[bytes, int]) -> None:
         # Every end of a token, with the score of those that are tokens: what is no end of one, no longer piece can be.
         self.ends: dict[bytes, int | None] = {token[k:]: None for token in score for k in range(1, len(token))} | score
+        self.reach = max(map(len, score)) + 1
         self.clear()
 
     def clear(self) -> None:
@@ -67,6 +71,16 @@ class Trie:
         assert found is not None
         return found
 
+    def long(self, word: bytes) -> int:
+        """Tokens of a pre-token that is not stored; only as much of the table is held as a token can reach back."""
+        reach = self.reach
+        best, base = [(0, 0)], 0  # best[i] is for word[:base + i]
+        for stop in range(1, len(word) + 1):
+            if len(best) > 4 * reach:
+                base, best = base + len(best) - reach, best[-reach:]
+            best.append(self.forward(word[base : stop], best, stop - base))
+        return -best[-1][1]
+
     def count(self, text: str) -> int:
         """Tokens of a pre-token; stored at its end."""
         known = self.counts.get(text)
@@ -74,11 +88,7 @@ class Trie:
             return known
         word = text.encode()
         if len(word) > LONG:
-            path = [(0, 0)]
-            for stop in range(1, len(word) + 1):
-                path.append(self.forward(word, path, stop))
-            self.counts[text] = -path[-1][1]
-            return self.counts[text]
+            return self.long(word)
         node, path = 0, [(0, 0)]
         for stop, byte in enumerate(word, 1):
             there = self.child.get((node, byte))
@@ -97,11 +107,12 @@ def _counter(path: str, pattern: str):
         for part in parts:
             found = [Counter(split.findall(t.as_py() or "")) for t in part.column("text")]
             # New ones sorted, so that neighbours share prefixes. The trie is begun anew between batches only.
-            if len(trie.best) > NODES:
+            if len(trie.best) + len(trie.counts) > NODES:
                 trie.clear()
-            for word in sorted(set().union(*found).difference(trie.counts)):
-                trie.count(word)
-            totals = [sum(map(mul, c.values(), map(trie.counts.__getitem__, c))) for c in found]
+            new = sorted(set().union(*found).difference(trie.counts))
+            long = {word: n for word in new if (n := trie.count(word)) and word not in trie.counts}
+            look = (lambda w, kept=trie.counts, long=long: long[w] if w in long else kept[w]) if long else trie.counts.__getitem__
+            totals = [sum(map(mul, c.values(), map(look, c))) for c in found]
             yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "n_pretokens": pa.array([c.total() for c in found], pa.int64()), "n_tokens": pa.array(totals, pa.int64())})
 
     return run

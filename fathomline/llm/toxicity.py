@@ -22,6 +22,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +58,8 @@ LETTERS = 26 + 32 + 2
 _WORD = re.compile(r"[^\W\d_]+")
 _SPACED = re.compile(r"(?<!\S)\S(?:[ .\-_*]{1,3}\S){2,}(?!\S)")
 _REPEAT = re.compile(r"([^\W\d_])\1")
+_THRICE = re.compile(r"([^\W\d_])\1\1")
+_PLAIN_START = re.compile(r"(?:([^\W\d_])(?!\1\1))*")
 _SIGN = re.compile("[" + re.escape("".join(LOOKALIKES)) + "]")
 #: What may stand around a word: signs that are no look-alikes, and those that are.
 PLAIN, ALIKE = ".,;:?\"')[]{}<>%&", "!(|*#$"
@@ -84,14 +87,16 @@ def code_points() -> np.ndarray:
 def _count_trigrams(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(LETTERS**3, np.int64)
     for part in parts:
-        for text in part.column(0):
-            ids = code_points()[np.frombuffer((text.as_py() or "").encode("utf-32-le", "surrogatepass"), "<u4")].astype(np.int32)
-            ids = np.concatenate([[0, 0], ids, [0]]).astype(np.int32)
-            codes = (ids[:-2] * LETTERS + ids[1:-1]) * LETTERS + ids[2:]
-            if len(codes) > LETTERS**2:
-                total += np.bincount(codes, minlength=LETTERS**3)
-            else:
-                np.add.at(total, codes, 1)
+        # Texts one behind the other, two breaks before each and one at the end.
+        raw = np.frombuffer("\0\0".join(["", *(t or "" for t in part.column(0).to_pylist()), ""]).encode("utf-32-le", "surrogatepass"), "<u4")
+        ids = code_points()[raw].astype(np.int32)
+        codes = (ids[:-2] * LETTERS + ids[1:-1]) * LETTERS + ids[2:]
+        # A text ends with one break: the windows at the end of one that hold two are no trigrams of it.
+        sizes = np.fromiter((len(t or "") for t in part.column(0).to_pylist()), np.int64, part.num_rows)
+        ends = np.cumsum(sizes + 2) - 1  # the last letter of each text, or the break before an empty one
+        inside = np.ones(len(codes), bool)
+        inside[ends[ends < len(codes)]] = False
+        total += np.bincount(codes[inside], minlength=LETTERS**3)
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_pydict({"code": pa.array(at, pa.int64()), "n": pa.array(total[at], pa.int64())})
 
@@ -102,6 +107,11 @@ class CharModel:
 
     log_p: np.ndarray
 
+    @cached_property
+    def costs(self) -> list[float]:
+        """-log P of c after a and b at place (a * LETTERS + b) * LETTERS + c: a list is read faster, one by one."""
+        return (-self.log_p.astype(float)).ravel().tolist()
+
     @staticmethod
     def of(docs: DataFrame, text_col: str = "text") -> CharModel:
         """Counted over all rows; what comes back is bounded by the alphabet."""
@@ -133,11 +143,16 @@ def arcs(span: str, i: int, doubled: bool = False) -> list[tuple[str, int, float
         if run - i < 3:
             return [(c, i + 1, 0.0), *([(c, run, COLLAPSE)] if doubled and run - i == 2 else ())]
         return [(c, run, COLLAPSE), (c * 2, run, COLLAPSE), (c * (run - i), run, REPEAT * (run - i - 2))]
-    out = [(" ", i + 1, KEEP if c in LOOKALIKES else 2.0 if c.isspace() else 1.0)]
-    if c in LOOKALIKES:
-        out += [(x, i + 1, SWAP) for x in LOOKALIKES[c]]
+    return [(written, i + 1, cost) for written, cost in sign_arcs(c)]
+
+
+@lru_cache(maxsize=1 << 12)
+def sign_arcs(c: str) -> list[tuple[str, float]]:
+    """What a sign that is no letter may stand for: a break, a letter, or nothing."""
+    out = [(" ", KEEP if c in LOOKALIKES else 2.0 if c.isspace() else 1.0)]
+    out += [(x, SWAP) for x in LOOKALIKES.get(c, "")]
     if c in SEPARATORS:
-        out.append(("", i + 1, JOIN))
+        out.append(("", JOIN))
     return out
 
 
@@ -168,30 +183,84 @@ def settle(paths: list[list | None]) -> str:
     return text
 
 
+@lru_cache(maxsize=1 << 14)
+def ids_of(written: str) -> tuple[int, ...]:
+    return tuple(map(letter_id, written))
+
+
 def decode(span: str, model: CharModel, doubled: bool = False) -> str:
     """The likeliest clean form of a span (lower case)."""
-    # The state is what was written last (two ids); each keeps its best cost and its path, back to what is settled.
-    layers: dict[int, dict[tuple[int, int], tuple[float, list | None]]] = {0: {(0, 0): (0.0, None)}}
-    log_p, settled = model.log_p, []
-    for i in range(len(span)):
+    # The state is what was written last (two ids, as one number); each keeps its best cost and its path, back to what is settled.
+    # Plain letters at the start can only be written as they are.
+    costs, settled, state, before = model.costs, [], 0, 0.0
+    start = 0 if doubled else _PLAIN_START.match(span).end()
+    for c in ids_of(span[:start]):
+        before += costs[state * LETTERS + c]
+        state = state % LETTERS * LETTERS + c
+    layers: dict[int, dict[int, tuple[float, list | None]]] = {start: {state: (before, [None, span[:start]])}}
+    for i in range(start, len(span)):
         here = layers.pop(i, None)
         if here is None:
             continue
         for written, stop, cost in arcs(span, i, doubled):
-            ids = [letter_id(c) for c in written]
+            ids = ids_of(written)
             there = layers.setdefault(stop, {})
-            for (a, b), (before, path) in here.items():
-                total, x, y = before + cost, a, b
+            for state, (before, path) in here.items():
+                total = before + cost
                 for c in ids:
-                    if c or y:  # a break after a break is free
-                        total -= float(log_p[x, y, c])
-                        x, y = y, c
-                if (x, y) not in there or total < there[x, y][0]:
-                    there[x, y] = (total, [path, written])
+                    last = state % LETTERS
+                    if c or last:  # a break after a break is free
+                        total += costs[state * LETTERS + c]
+                        state = last * LETTERS + c
+                known = there.get(state)
+                if known is None or total < known[0]:
+                    there[state] = (total, [path, written])
         if i % LONGEST == LONGEST - 1:
             settled.append(settle([path for layer in layers.values() for _, path in layer.values()]))
-    best = min((cost - float(log_p[a, b, 0]) * (b > 0), written_by(path)) for (a, b), (cost, path) in layers[len(span)].items())
-    return "".join(settled) + best[1]
+    ends = [(cost + (costs[state * LETTERS] if state % LETTERS else 0.0), path) for state, (cost, path) in layers[len(span)].items()]
+    least = min(cost for cost, _ in ends)
+    return "".join(settled) + min(written_by(path) for cost, path in ends if cost == least)
+
+
+def undouble(word: str, places: list[int], model: CharModel) -> str:
+    """The same for a word of letters with some doubled ones (at `places`): each of them read once or twice.
+
+    Reading a letter once changes the cost of itself and of the next letter only, so doubles with a letter in between
+    are settled one by one, runs of neighbouring doubles together.
+    """
+    costs, ids = model.costs, (0, *ids_of(word), 0)  # ids[p + 1] is the letter at p
+    dropped: set[int] = set()
+    for group in neighbours(places):
+        before, after = ids[group[0]], ids[group[-1] + 3]
+        best = None
+        for way in range(1 << len(group)):
+            total, a, b = 0.0, before, ids[group[0] + 1]
+            for k, p in enumerate(group):
+                c = ids[p + 1]
+                if k:
+                    total += costs[(a * LETTERS + b) * LETTERS + c]
+                    a, b = b, c
+                if way >> k & 1:
+                    total += COLLAPSE
+                else:
+                    total += costs[(a * LETTERS + b) * LETTERS + c]
+                    a, b = b, c
+            total += costs[(a * LETTERS + b) * LETTERS + after]
+            if best is None or total < best[0]:
+                best = total, way
+        dropped.update(p for k, p in enumerate(group) if best[1] >> k & 1)
+    return "".join(c for i, c in enumerate(word) if i not in dropped) if dropped else word
+
+
+def neighbours(places: list[int]) -> list[list[int]]:
+    """Places of doubles, those that follow each other without a letter in between together."""
+    out = [places[:1]]
+    for p in places[1:]:
+        if p == out[-1][-1] + 2:
+            out[-1].append(p)
+        else:
+            out.append([p])
+    return out
 
 
 #: After so many signs of a span, what all paths have in common is settled; paths stay short.
@@ -205,6 +274,11 @@ class Restorer:
         self.model, self.memory = model, {}
 
     def restored(self, span: str) -> list[str]:
+        if span.isalpha() and not _THRICE.search(span):
+            # Nothing but letters, at most doubled: the span itself, and it without some of the doubles.
+            places = [m.start() for m in _REPEAT.finditer(span)]
+            if all(len(group) <= 3 for group in neighbours(places)):
+                return [span, undouble(span, places, self.model)] if places else [span]
         words = _WORD.findall(decode(span, self.model))
         # Doubled letters are mostly a word's own, so they are also read as single ones, not instead.
         return words + (_WORD.findall(decode(span, self.model, True)) if _REPEAT.search(span) else [])
@@ -248,27 +322,46 @@ class Toxic:
     share: dict[str, float]
     base: float
 
+    @cached_property
+    def by_length(self) -> tuple[dict[str, float], list[tuple[int, dict[str, float]]]]:
+        """Shares of words, and of beginnings by their length."""
+        begins = [(n, {f[1:]: x for f, x in self.share.items() if f[0] == "^" and len(f) == n + 1}) for n in PREFIXES]
+        return {f[1:]: x for f, x in self.share.items() if f[0] == "="}, [b for b in begins if b[1]]
+
     def evidence(self, word: str) -> float:
-        return max((self.share[f] for f in features(word) if f in self.share), default=0.0)
+        words, begins = self.by_length
+        most = words.get(word, 0.0)
+        for n, held in begins:
+            if len(word) >= n:
+                most = max(most, held.get(word[:n], 0.0))
+        return most
 
 
 class Scorer:
+    """`known` tokens have been looked at; those with evidence are in `hits` with their words."""
+
     def __init__(self, toxic: Toxic) -> None:
-        self.toxic, self.restorer, self.memory = toxic, Restorer(toxic.model), {}
+        self.toxic, self.restorer = toxic, Restorer(toxic.model)
+        self.known: set[str] = set()
+        self.hits: dict[str, tuple[str, ...]] = {}
 
     def of_token(self, token: str) -> tuple[str, ...]:
         """Words with evidence among a token's words."""
         return tuple(w for w in self.restorer.of_token(token) if self.toxic.evidence(w))
 
     def score(self, text: str | None) -> float:
-        if len(self.memory) > MEMORY:
-            self.memory.clear()
-        low, memory, found = (text or "").lower(), self.memory, set()
+        if len(self.known) > MEMORY:
+            self.known.clear()
+            self.hits.clear()
+        low, found = (text or "").lower(), set()
         tokens = set(low.split())
-        for token in tokens.difference(memory):
-            memory[token] = self.of_token(token)
-        for words in filter(None, map(memory.__getitem__, tokens)):
-            found.update(words)
+        new = tokens - self.known
+        for token in new:
+            if words := self.of_token(token):
+                self.hits[token] = words
+        self.known |= new
+        for token in tokens & self.hits.keys():
+            found.update(self.hits[token])
         for span in _SPACED.finditer(low):
             found.update(w for w in self.restorer.restored(span.group()) if self.toxic.evidence(w))
         clean = 1.0 - self.toxic.base
@@ -299,20 +392,29 @@ def _features(shared):
     return run
 
 
-def _count_features(chosen: set[str]):
-    """Documents of either label that hold a feature: all of them, and those that hold none of the chosen ones."""
+def _count_features(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of either label that hold a feature."""
+    for part in parts:
+        clean, toxic = Counter(), Counter()
+        for held, label in zip(part.column("held"), part.column("toxic").to_pylist(), strict=True):
+            (toxic if label else clean).update(held.as_py())
+        names = sorted({*clean, *toxic})
+        yield pa.RecordBatch.from_pydict({"feature": pa.array(names, pa.string()), "clean": pa.array([clean[n] for n in names], pa.int64()), "toxic": pa.array([toxic[n] for n in names], pa.int64())})
+
+
+def _only(shared, chosen: set[str] = frozenset()):
+    """Documents that hold none of the chosen features, with those of their features that are shared."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = shared.value
         for part in parts:
-            counts: tuple[Counter, ...] = (Counter(), Counter(), Counter(), Counter())
-            for held, toxic in zip(part.column("held"), part.column("toxic").to_pylist(), strict=True):
+            labels, found = [], []
+            for held, label in zip(part.column("held"), part.column("toxic").to_pylist(), strict=True):
                 names = held.as_py()
-                counts[toxic].update(names)
                 if chosen.isdisjoint(names):
-                    counts[2 + toxic].update(names)
-            names = sorted({*counts[0], *counts[1]})
-            columns = {k: pa.array([c[n] for n in names], pa.int64()) for k, c in zip(("clean", "toxic", "open_clean", "open_toxic"), counts, strict=True)}
-            yield pa.RecordBatch.from_pydict({"feature": pa.array(names, pa.string()), **columns})
+                    labels.append(label)
+                    found.append([n for n in names if n in wanted])
+            yield pa.RecordBatch.from_pydict({"toxic": pa.array(labels, pa.int64()), "held": pa.array(found, pa.list_(pa.string()))})
 
     return run
 
@@ -412,36 +514,40 @@ def learn(docs: DataFrame, labels: DataFrame) -> Toxic:
     if not weight.get(1) or not weight.get(0):
         return Toxic(model, {}, 0.0)
     shared = spark.sparkContext.broadcast(model)  # LETTERS ** 3 numbers
-    kept = keep(sample.select("text", "toxic").mapInArrow(_features(shared), "toxic long, held array<string>"))
+    held, counts = "toxic long, held array<string>", "feature string, clean long, toxic long"
+    every = keep(sample.select("text", "toxic").mapInArrow(_features(shared), held))
+    sizes = {r["toxic"]: r["count"] for r in every.groupBy("toxic").count().collect()}
+    toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
+    summed = lambda df: df.mapInArrow(_count_features, counts).groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     bad, good = F.col("toxic") * weight[1], F.col("clean") * weight[0]
+    counted = summed(every).where(F.col("toxic") >= LEAST_HELD).withColumn("whole", (bad + 0.1) / (bad + good + 0.3))
+    leaning = (F.col("toxic") * max(clean, 1) > 2 * F.col("clean") * max(toxic, 1)).alias("lean")
+    able = (F.col("whole") >= LEAST_SHARE).alias("able")
+    rows = counted.select("feature", "toxic", "whole", leaning, able, ratio_of(F.col("toxic"), F.col("clean"), toxic, clean).alias("g")).where("lean OR able").collect() if toxic else []
+    # From here on only features matter that may be chosen or that the strong ones are compared with.
+    wanted = spark.sparkContext.broadcast({r["feature"] for r in rows})
+    kept = keep(every.mapInArrow(_only(wanted), held))
+    whole = {r["feature"]: r["whole"] for r in rows if r["able"]}
+    choosable = spark.sparkContext.broadcast(set(whole))
     share: dict[str, float] = {}
-    toxic = clean = 0
-    # All features are counted anew among the documents that are still open, until none of them passes.
-    while True:
-        open_ = kept.mapInArrow(_hold_features([], set(share)), "toxic long, bits binary")
-        sizes = {r["toxic"]: r["count"] for r in open_.groupBy("toxic").count().collect()}
-        left, others = sizes.get(1, 0), sizes.get(0, 0)
-        if not share:
-            toxic, clean = left, others
-        if not left:
-            break
-        names = ("clean", "toxic", "open_clean", "open_toxic")
-        counted = kept.mapInArrow(_count_features(set(share)), "feature string, " + ", ".join(f"{n} long" for n in names)).groupBy("feature").agg(*(F.sum(n).alias(n) for n in names))
-        able = counted.where(F.col("open_toxic") >= LEAST_HELD).withColumn("whole", (bad + 0.1) / (bad + good + 0.3)).where(F.col("whole") >= LEAST_SHARE)
-        able = able.withColumn("g", ratio_of(F.col("open_toxic"), F.col("open_clean"), left, others)).where(F.col("g") >= LEAST_RATIO)
-        whole = {r["feature"]: r["whole"] for r in able.orderBy(F.desc("g"), F.length("feature"), "feature").limit(CANDIDATES).collect()}
-        chosen = choose(list(whole), *hold(kept, list(whole), set(share))) if whole else []
+    left, others = toxic, clean
+    # Features are counted anew among the documents that are still open, until none of them passes.
+    while left:
+        open_ = summed(kept.mapInArrow(_only(choosable, set(share)), held)).where(F.col("toxic") >= LEAST_HELD)
+        open_ = open_.withColumn("g", ratio_of(F.col("toxic"), F.col("clean"), left, others)).where(F.col("g") >= LEAST_RATIO)
+        names = [r["feature"] for r in open_.orderBy(F.desc("g"), F.length("feature"), "feature").limit(CANDIDATES).collect()]
+        chosen = choose(names, *hold(kept, names, set(share))) if names else []
         if not chosen:
             break
         share |= {n: whole[n] for n in chosen}
-    counted = kept.mapInArrow(_count_features(set()), "feature string, clean long, toxic long, open_clean long, open_toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    lean = counted.where((F.col("toxic") >= LEAST_HELD) & (F.col("toxic") * max(clean, 1) > 2 * F.col("clean") * max(toxic, 1)))
-    lean = lean.withColumn("whole", (bad + 0.1) / (bad + good + 0.3)).withColumn("g", ratio_of(F.col("toxic"), F.col("clean"), toxic, clean))
-    rows = lean.select("feature", "whole", "g").orderBy(F.desc("toxic"), "feature").collect()
-    strong = {r["feature"]: r["whole"] for r in rows if r["g"] >= STRONG_RATIO and r["whole"] >= STRONG_SHARE}
-    for n in alone(kept, [r["feature"] for r in rows], list(strong)):
+        sizes = {r["toxic"]: r["count"] for r in kept.mapInArrow(_only(choosable, set(share)), held).groupBy("toxic").count().collect()}
+        left, others = sizes.get(1, 0), sizes.get(0, 0)
+    lean = sorted((r for r in rows if r["lean"]), key=lambda r: (-r["toxic"], r["feature"]))
+    strong = {r["feature"]: r["whole"] for r in lean if r["g"] >= STRONG_RATIO and r["whole"] >= STRONG_SHARE}
+    for n in alone(kept, [r["feature"] for r in lean], list(strong)):
         share.setdefault(n, strong[n])
-    kept.unpersist()
+    for df in (kept, every):
+        df.unpersist()
     rest = left * weight[1]
     return Toxic(model, share, (rest + 0.1) / (rest + others * weight[0] + 10.0))
 

@@ -114,3 +114,31 @@ def test_words_that_travel_with_copies_displace_none(spark, monkeypatch):
 def test_a_word_across_the_old_cut_of_a_long_span_is_whole():
     words = tox.Restorer(MODEL).restored(" ".join("the" + "idiot" * 60))
     assert set(words) <= {"the", "idiot", "theidiot"} and words.count("idiot") >= 59
+
+
+def test_words_of_letters_are_read_as_the_lattice_reads_them():
+    """The short way for letters with up to three doubles, against the whole lattice."""
+    rnd = np.random.default_rng(3)
+    words = ["book", "moorron", "iiddiot", "goodd", "looser", "aabb", "ttrash", "hhousse", "llooss"]
+    words += ["".join(c * int(n) for c, n in zip(rnd.choice(list("aemnorst"), 7), rnd.choice([1, 1, 2], 7), strict=True)) for _ in range(300)]
+    for word in words:
+        if tox._THRICE.search(word):
+            continue
+        places = [m.start() for m in tox._REPEAT.finditer(word)]
+        assert tox.decode(word, MODEL) == word
+        if places:
+            assert tox.undouble(word, places, MODEL) == tox.decode(word, MODEL, True)
+            assert sorted(set(tox.Restorer(MODEL).restored(word))) == sorted({word, tox.decode(word, MODEL, True)}) or tox.Restorer(MODEL).restored(word) == [word, tox.decode(word, MODEL, True)]
+
+
+def test_trigrams_of_texts_one_behind_the_other():
+    import pyarrow as pa
+
+    texts = ["ab c", None, "", "x", "Straße é", "aa"]
+    want = np.zeros(tox.LETTERS**3, np.int64)
+    for text in texts:
+        ids = [0, 0, *(int(tox.code_points()[ord(c)]) for c in text or ""), 0]
+        for a, b, c in zip(ids, ids[1:], ids[2:], strict=False):
+            want[(a * tox.LETTERS + b) * tox.LETTERS + c] += 1
+    (got,) = tox._count_trigrams(iter([pa.RecordBatch.from_pydict({"text": pa.array(texts[:4])}), pa.RecordBatch.from_pydict({"text": pa.array(texts[4:])})]))
+    assert dict(zip(got["code"].to_pylist(), got["n"].to_pylist(), strict=True)) == {int(k): int(want[k]) for k in np.flatnonzero(want)}

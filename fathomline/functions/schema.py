@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 TALLIES = "n_rows long, n_unique long, n_dup_resend long, n_dup_cross_id long"
@@ -33,4 +32,6 @@ def struct(ddl: str) -> StructType:
 
 def conform(df: DataFrame, ddl: str) -> DataFrame:
     """Columns by name, in order and typed; columns that are missing become null, others go."""
-    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in struct(ddl)))
+    here = set(df.columns)
+    typed = ((f.name, f"`{f.name}`" if f.name in here else "NULL", f.dataType.simpleString()) for f in struct(ddl))
+    return df.selectExpr(*(f"CAST({value} AS {kind}) AS `{name}`" for name, value, kind in typed))

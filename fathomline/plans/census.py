@@ -7,6 +7,7 @@ all its roll-ups are. Staging anything drops the census that it makes stale.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from fathomline.functions.schema import conform
 from fathomline.operators import rollup
 from fathomline.operators.classify import classify
 from fathomline.operators.recent import moment
+from fathomline.plans.work import together
 from fathomline.session import ensure
 from fathomline.sources.files import Files
 from fathomline.sources.readings import KEYED
@@ -62,8 +64,14 @@ def rank(spark: SparkSession, out: str, before: datetime | None = None, dest: st
     """Classify all staged readings, of all months at once, and write the roll-ups."""
     ensure(spark)
     classified = classify(staged(spark, out, before)).persist()
-    for name, make in ROLLUPS.items():
-        make(classified).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{dest or out}/census/{name}")
+
+    def write(name: str) -> None:
+        ROLLUPS[name](classified).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{dest or out}/census/{name}")
+
+    # The first fills what is kept, the others read it side by side.
+    first, *others = ROLLUPS
+    write(first)
+    together(spark, [partial(write, name) for name in others])
     classified.unpersist()
 
 

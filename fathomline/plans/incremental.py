@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import UTC, date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomline.functions.schema import STATE, struct
@@ -39,6 +39,11 @@ class RunResult:
     capped: bool = False
 
 
+def size() -> Column:
+    """The number of a step's rows."""
+    return F.count("*").alias("n")
+
+
 def naive(t: datetime) -> datetime:
     return t.astimezone(UTC).replace(tzinfo=None) if t.tzinfo else t
 
@@ -86,19 +91,16 @@ def run(
     index = ledger.read("file_index")
     # Every step is written down, so that plans stay short and a lost executor costs one step.
     with Work(spark, ledger.root) as work:
-        fresh = work.keep(match.new_objects(archive.listing(spark, days_to_list(ledger, now.date(), lookback_days)), index))
-        waiting = fresh.count()
-        if not waiting:
+        fresh, waiting = work.measured(match.new_objects(archive.listing(spark, days_to_list(ledger, now.date(), lookback_days)), index), size())
+        if not waiting.n:
             return RunResult(run_id, ledger.number)
-        chosen = work.keep(match.within_budget(fresh, ["name", "key"], "size", max_files, max_bytes))
-        n_chosen, newest_published = chosen.agg(F.count("*"), F.max("last_modified")).first()
+        chosen, taken = work.measured(match.within_budget(fresh, ["name", "key"], "size", max_files, max_bytes), size(), F.max("last_modified").alias("newest"))
         new = work.keep(keyed(archive.published(spark, chosen)))
-        groups = work.keep(rollup.group_meta(new))
-        matched = work.keep(match.fingerprint_matches(groups, index))
+        groups, held = work.measured(rollup.group_meta(new), F.date_format(F.max("ingested"), "yyyy-MM-dd'T'HH:mm:ss").alias("newest"))
+        matched, copied = work.measured(match.fingerprint_matches(groups, index), size())
         originals = match.overlapping(groups.join(matched, ["file", "unique_id"], "left_anti"), index)
-        reread = work.keep(originals.select("key", "size", "etag").distinct())
-        n_reread, reread_bytes = reread.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-        classes = work.keep(classify_new(new, groups, matched, keyed(archive.published(spark, reread))))
+        reread, again = work.measured(originals.select("key", "size", "etag").distinct(), size(), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"))
+        classes, total = work.measured(classify_new(new, groups, matched, keyed(archive.published(spark, reread))), *tallies())
 
         counts = rollup.file_counts(classes)
         found = chosen.select(F.col("name").alias("file"), "key", "size", "etag", F.col("last_modified").alias("published_at"))
@@ -106,11 +108,9 @@ def run(
         entries = groups.join(counts.drop("n_rows"), ["file", "unique_id"]).join(found, "file").join(matched.drop("dup_uid"), ["file", "unique_id"], "left")
         minutes = tracks.underway(tracks.minutes(new, counts.where("n_unique > 0").select("file", "unique_id")), with_file=True)
         cutoff = moment(now - timedelta(days=RECENT_DAYS))
-        total = classes.agg(*tallies()).first()
-        newest = groups.agg(F.date_format(F.max("ingested"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
         log = run_row(
-            spark, run_id=run_id, kind="incremental", run_at=now, generation=ledger.number + 1, new_files=n_chosen, n_rows=total[0], n_unique=total[1], n_dup_resend=total[2], n_dup_cross_id=total[3],
-            reread_bytes=reread_bytes, capped=n_chosen < waiting, removed=0, newest_published=newest_published,
+            spark, run_id=run_id, kind="incremental", run_at=now, generation=ledger.number + 1, new_files=taken.n, **total.asDict(),
+            reread_bytes=again.bytes, capped=taken.n < waiting.n, removed=0, newest_published=taken.newest,
         )
         ledger.commit(
             replace={
@@ -125,6 +125,6 @@ def run(
                 "uw_delta": stamped(minutes, run_id),
                 "runs": log,
             },
-            **{NEWEST: max(filter(None, (newest, ledger.fact(NEWEST))), default=None), LISTED: now.date().isoformat()},
+            **{NEWEST: max(filter(None, (held.newest, ledger.fact(NEWEST))), default=None), LISTED: now.date().isoformat()},
         )
-        return RunResult(run_id, ledger.number, n_chosen, total[0], total[1], total[2], total[3], matched.count(), n_reread, reread_bytes, n_chosen < waiting)
+        return RunResult(run_id, ledger.number, taken.n, total.n_rows, total.n_unique, total.n_dup_resend, total.n_dup_cross_id, copied.n, again.n, again.bytes, taken.n < waiting.n)
